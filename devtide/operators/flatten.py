@@ -1,7 +1,13 @@
-"""Valid raw envelopes to typed staging tables."""
+"""Raw envelopes to typed rows, and typed rows to staging tables.
+
+Flattening is one narrow pass per entity that also carries the people a record
+mentions. Everything after it (dedupe, contributors) works on columns and never
+parses JSON again.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,12 +20,9 @@ from ..functions.text import headline, repository_slug
 from ..schemas import STAGED, conform
 from .dedupe import keep_first, keep_last
 
-# Position of a record in the landing zone: repositories in slug order, then as landed.
-_SEQ = ("_slug", "_seq")
-
 
 def _instant(path: str) -> Column:
-    return parse_instant(text_at(F.col("data"), path))
+    return parse_instant(_text(path))
 
 
 def _text(path: str) -> Column:
@@ -34,18 +37,6 @@ def _flag(path: str) -> Column:
     return truthy(at(F.col("data"), path))
 
 
-def _position() -> list[Column]:
-    return [
-        repository_slug(F.col("repository")).alias("_slug"),
-        F.col("ingest_seq").alias("_seq"),
-    ]
-
-
-def _stage(df: DataFrame, entity: str, survivor, keys: list[str]) -> DataFrame:
-    order = [F.col(c) for c in _SEQ]
-    return conform(survivor(df, keys, order), STAGED[entity])
-
-
 def labels(data: Column) -> Column:
     """Names of the label objects; entries that are not objects are skipped."""
     objects = F.filter(items(at(data, "labels")), is_object)
@@ -58,141 +49,162 @@ def parent_count(data: Column) -> Column:
     return F.coalesce(F.size(items(at(data, "parents"))), F.lit(0))
 
 
-def repository_rows(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        *_position(),
-        _long("id").alias("github_repo_id"),
-        _text("full_name").alias("full_name"),
-        _text("owner.login").alias("owner_login"),
-        _text("name").alias("name"),
-        _text("description").alias("description"),
-        _text("language").alias("language"),
-        _flag("private").alias("is_private"),
-        _flag("fork").alias("is_fork"),
-        _flag("archived").alias("is_archived"),
-        _text("default_branch").alias("default_branch"),
-        _instant("created_at").alias("created_at"),
-        _instant("pushed_at").alias("pushed_at"),
-        _long("stargazers_count").alias("stargazers_count"),
-        _long("forks_count").alias("forks_count"),
-        _long("open_issues_count").alias("open_issues_count"),
-        _text("html_url").alias("html_url"),
-    )
-
+def repository_columns() -> dict[str, Column]:
+    return {
+        "github_repo_id": _long("id"),
+        "full_name": _text("full_name"),
+        "owner_login": _text("owner.login"),
+        "name": _text("name"),
+        "description": _text("description"),
+        "language": _text("language"),
+        "is_private": _flag("private"),
+        "is_fork": _flag("fork"),
+        "is_archived": _flag("archived"),
+        "default_branch": _text("default_branch"),
+        "created_at": _instant("created_at"),
+        "pushed_at": _instant("pushed_at"),
+        "stargazers_count": _long("stargazers_count"),
+        "forks_count": _long("forks_count"),
+        "open_issues_count": _long("open_issues_count"),
+        "html_url": _text("html_url"),
+    }
 
-def commit_rows(raw: DataFrame) -> DataFrame:
-    data = F.col("data")
-    return raw.select(
-        *_position(),
-        F.col("repository").alias("repository_full_name"),
-        _text("sha").alias("commit_sha"),
-        commit_person(data, "author")["contributor_nk"].alias("author_nk"),
-        commit_person(data, "committer")["contributor_nk"].alias("committer_nk"),
-        _instant("commit.author.date").alias("authored_at"),
-        _instant("commit.committer.date").alias("committed_at"),
-        headline(_text("commit.message")).alias("message_headline"),
-        parent_count(data).alias("parent_count"),
-        _text("html_url").alias("html_url"),
-    )
 
+def commit_columns() -> dict[str, Column]:
+    return {
+        "repository_full_name": F.col("repository"),
+        "commit_sha": _text("sha"),
+        "author_nk": F.col("people")[0]["contributor_nk"],
+        "committer_nk": F.col("people")[1]["contributor_nk"],
+        "authored_at": _instant("commit.author.date"),
+        "committed_at": _instant("commit.committer.date"),
+        "message_headline": headline(_text("commit.message")),
+        "parent_count": parent_count(F.col("data")),
+        "html_url": _text("html_url"),
+    }
 
-def pull_request_rows(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        *_position(),
-        _long("id").alias("github_pr_id"),
-        F.col("repository").alias("repository_full_name"),
-        _long("number").alias("pr_number"),
-        linked_account(at(F.col("data"), "user"))["contributor_nk"].alias("author_nk"),
-        _text("title").alias("title"),
-        _text("state").alias("state"),
-        _flag("draft").alias("is_draft"),
-        _instant("created_at").alias("created_at"),
-        _instant("updated_at").alias("updated_at"),
-        _instant("closed_at").alias("closed_at"),
-        _instant("merged_at").alias("merged_at"),
-        _text("base.ref").alias("base_ref"),
-        _text("html_url").alias("html_url"),
-    )
 
+def pull_request_columns() -> dict[str, Column]:
+    return {
+        "github_pr_id": _long("id"),
+        "repository_full_name": F.col("repository"),
+        "pr_number": _long("number"),
+        "author_nk": F.col("people")[0]["contributor_nk"],
+        "title": _text("title"),
+        "state": _text("state"),
+        "is_draft": _flag("draft"),
+        "created_at": _instant("created_at"),
+        "updated_at": _instant("updated_at"),
+        "closed_at": _instant("closed_at"),
+        "merged_at": _instant("merged_at"),
+        "base_ref": _text("base.ref"),
+        "html_url": _text("html_url"),
+    }
 
-def submitted(raw: DataFrame) -> DataFrame:
-    """Reviews that were submitted: a pending draft carries no time."""
-    when = _text("submitted_at")
-    return raw.filter(when.isNotNull() & (when != ""))
-
-
-def review_rows(raw: DataFrame) -> DataFrame:
-    return submitted(raw).select(
-        *_position(),
-        _long("id").alias("github_review_id"),
-        F.col("repository").alias("repository_full_name"),
-        long_at(F.col("context"), "pull_number").alias("pr_number"),
-        linked_account(at(F.col("data"), "user"))["contributor_nk"].alias("reviewer_nk"),
-        _text("state").alias("review_state"),
-        _instant("submitted_at").alias("submitted_at"),
-    )
 
+def review_columns() -> dict[str, Column]:
+    return {
+        "github_review_id": _long("id"),
+        "repository_full_name": F.col("repository"),
+        "pr_number": long_at(F.col("context"), "pull_number"),
+        "reviewer_nk": F.col("people")[0]["contributor_nk"],
+        "review_state": _text("state"),
+        "submitted_at": _instant("submitted_at"),
+    }
 
-def issue_rows(raw: DataFrame) -> DataFrame:
-    comments = at(F.col("data"), "comments")
-    return raw.select(
-        *_position(),
-        _long("id").alias("github_issue_id"),
-        F.col("repository").alias("repository_full_name"),
-        _long("number").alias("issue_number"),
-        linked_account(at(F.col("data"), "user"))["contributor_nk"].alias("author_nk"),
-        _text("title").alias("title"),
-        _text("state").alias("state"),
-        _text("state_reason").alias("state_reason"),
-        _instant("created_at").alias("created_at"),
-        _instant("updated_at").alias("updated_at"),
-        _instant("closed_at").alias("closed_at"),
-        # Absent counts as zero, an explicit null stays unknown.
-        F.when(json_type(comments).isNull(), F.lit(0))
-        .otherwise(_long("comments"))
-        .alias("comments_count"),
-        labels(F.col("data")).alias("labels"),
-    )
 
+def issue_columns() -> dict[str, Column]:
+    # Absent counts as zero, an explicit null stays unknown.
+    no_comments = json_type(at(F.col("data"), "comments")).isNull()
+    return {
+        "github_issue_id": _long("id"),
+        "repository_full_name": F.col("repository"),
+        "issue_number": _long("number"),
+        "author_nk": F.col("people")[0]["contributor_nk"],
+        "title": _text("title"),
+        "state": _text("state"),
+        "state_reason": _text("state_reason"),
+        "created_at": _instant("created_at"),
+        "updated_at": _instant("updated_at"),
+        "closed_at": _instant("closed_at"),
+        "comments_count": F.when(no_comments, F.lit(0)).otherwise(_long("comments")),
+        "labels": labels(F.col("data")),
+    }
 
-def stage_repositories(raw: DataFrame) -> DataFrame:
-    return _stage(repository_rows(raw), "repositories", keep_last, ["github_repo_id"])
 
+COLUMNS = {
+    "repositories": repository_columns,
+    "commits": commit_columns,
+    "pull_requests": pull_request_columns,
+    "reviews": review_columns,
+    "issues": issue_columns,
+}
 
-def stage_commits(raw: DataFrame) -> DataFrame:
-    keys = ["repository_full_name", "commit_sha"]
-    return _stage(commit_rows(raw), "commits", keep_first, keys)
+# How a key seen twice is resolved, by position in the landing zone.
+SURVIVOR = {
+    "repositories": (keep_last, ["github_repo_id"]),
+    "commits": (keep_first, ["repository_full_name", "commit_sha"]),
+    "pull_requests": (keep_last, ["github_pr_id"]),
+    "reviews": (keep_last, ["github_review_id"]),
+    "issues": (keep_last, ["github_issue_id"]),
+}
 
 
-def stage_pull_requests(raw: DataFrame) -> DataFrame:
-    return _stage(pull_request_rows(raw), "pull_requests", keep_last, ["github_pr_id"])
+def people_of(entity: str) -> Column:
+    """The contributors a record mentions, by role; NULL where a role has none."""
+    data = F.col("data")
+    if entity == "commits":
+        return F.array(commit_person(data, "author"), commit_person(data, "committer"))
+    if entity == "repositories":
+        return F.array().cast("array<struct<contributor_nk:string>>")
+    return F.array(linked_account(at(data, "user")))
+
+
+def flat_rows(raw: DataFrame, entity: str, *keep: str) -> DataFrame:
+    """Typed rows of one entity, with their position, their people and ``keep`` columns."""
+    return raw.withColumn("people", people_of(entity)).select(
+        *keep,
+        # Landing order: repositories by slug, then as landed.
+        repository_slug(F.col("repository")).alias("_slug"),
+        F.col("ingest_seq").alias("_seq"),
+        *([] if entity == "repositories" else ["people"]),
+        *[
+            column.cast(STAGED[entity][name]).alias(name)
+            for name, column in COLUMNS[entity]().items()
+        ],
+    )
 
 
-def stage_reviews(raw: DataFrame) -> DataFrame:
-    return _stage(review_rows(raw), "reviews", keep_last, ["github_review_id"])
+def submitted(rows: DataFrame) -> DataFrame:
+    """Reviews that were submitted: a pending draft carries no time."""
+    return rows.filter("submitted_at IS NOT NULL")
 
 
-def stage_issues(raw: DataFrame) -> DataFrame:
-    return _stage(issue_rows(raw), "issues", keep_last, ["github_issue_id"])
+def stage(rows: DataFrame, entity: str) -> DataFrame:
+    """One row per key of an entity."""
+    if entity == "reviews":
+        rows = submitted(rows)
+    survivor, keys = SURVIVOR[entity]
+    positioned = rows.select("_slug", "_seq", *STAGED[entity])
+    return conform(survivor(positioned, keys, [F.col("_slug"), F.col("_seq")]), STAGED[entity])
 
 
-def actors(raw: dict[str, DataFrame]) -> DataFrame:
+def actors(rows: Mapping[str, DataFrame]) -> DataFrame:
     """Every person seen as commit author or committer, PR author, reviewer, issue author."""
-    data = F.col("data")
-    author = linked_account(at(data, "user"))
     sources = (
-        (raw["commits"], [commit_person(data, "author"), commit_person(data, "committer")]),
-        (raw["pull_requests"], [author]),
-        (submitted(raw["reviews"]), [author]),
-        (raw["issues"], [author]),
+        rows["commits"],
+        rows["pull_requests"],
+        submitted(rows["reviews"]),
+        rows["issues"],
     )
     parts = [
         df.select(
             F.lit(i).alias("_entity"),
-            *_position(),
-            F.posexplode(F.array(*people)).alias("_role", "person"),
+            "_slug",
+            "_seq",
+            F.posexplode("people").alias("_role", "person"),
         ).filter("person IS NOT NULL")
-        for i, (df, people) in enumerate(sources)
+        for i, df in enumerate(sources)
     ]
     return reduce(DataFrame.unionByName, parts).select(
         "_entity", "_slug", "_seq", "_role", *[f"person.{c}" for c in PERSON_FIELDS]
@@ -206,17 +218,7 @@ def one_per_contributor(people: DataFrame) -> DataFrame:
     return conform(keep_last(people, ["contributor_nk"], order), STAGED["contributors"])
 
 
-def stage_contributors(raw: dict[str, DataFrame]) -> DataFrame:
-    return one_per_contributor(actors(raw))
-
-
-def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All six staging tables from valid raw envelopes per entity."""
-    return {
-        "repositories": stage_repositories(raw["repositories"]),
-        "contributors": stage_contributors(raw),
-        "commits": stage_commits(raw["commits"]),
-        "pull_requests": stage_pull_requests(raw["pull_requests"]),
-        "reviews": stage_reviews(raw["reviews"]),
-        "issues": stage_issues(raw["issues"]),
-    }
+def stage_all(rows: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """All six staging tables from the typed rows of every entity."""
+    staged = {entity: stage(rows[entity], entity) for entity in COLUMNS}
+    return staged | {"contributors": one_per_contributor(actors(rows))}
