@@ -24,22 +24,10 @@ def json_type(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def is_type(value: Column, name: str) -> Column:
-    return F.coalesce(json_type(value) == name, F.lit(False))
-
-
-def is_array(value: Column) -> Column:
-    return F.coalesce(json_type(value).startswith("ARRAY"), F.lit(False))
-
-
 def is_object(value: Column) -> Column:
     return F.coalesce(json_type(value).startswith("OBJECT"), F.lit(False))
 
 
-def is_absent_or_null(value: Column) -> Column:
-    return F.coalesce(json_type(value) == "VOID", F.lit(True))
-
-
 def has_key(data: Column, key: str) -> Column:
     """True when the key is present, even with a JSON null as its value."""
     return json_type(at(data, key)).isNotNull()

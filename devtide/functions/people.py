@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .payload import at, is_object, long_at, text_at
+from .payload import long_at, text_at
 
 PERSON_FIELDS = (
     "contributor_nk",
@@ -37,24 +37,43 @@ def _filled(text: Column) -> Column:
     return F.when(text != "", text)
 
 
-def linked_account(user: Column) -> Column:
-    """Contributor of an account object; NULL without a login."""
-    login = _filled(text_at(user, "login"))
-    kind = F.coalesce(_filled(text_at(user, "type")), F.lit("User"))
+def account_fields(path: str, prefix: str) -> dict[str, Column]:
+    """The fields of an account object, to be projected before they are used."""
+    data = F.col("data")
+    return {
+        f"{prefix}_login": text_at(data, f"{path}.login"),
+        f"{prefix}_id": long_at(data, f"{path}.id"),
+        f"{prefix}_type": text_at(data, f"{path}.type"),
+    }
+
+
+def identity_fields(path: str, prefix: str) -> dict[str, Column]:
+    """The fields of a name/e-mail pair, to be projected before they are used."""
+    data = F.col("data")
+    return {
+        f"{prefix}_email": text_at(data, f"{path}.email"),
+        f"{prefix}_name": text_at(data, f"{path}.name"),
+    }
+
+
+def linked_account(prefix: str) -> Column:
+    """Contributor of an account; NULL without a login."""
+    login = F.col(f"{prefix}_login")
+    kind = F.coalesce(_filled(F.col(f"{prefix}_type")), F.lit("User"))
     person = _person(
         F.concat(F.lit("gh:"), F.lower(login)),
-        long_at(user, "id"),
+        F.col(f"{prefix}_id"),
         login,
         login,
         kind,
         (kind == "Bot") | login.endswith(BOT_SUFFIX),
     )
-    return F.when(is_object(user) & login.isNotNull(), person)
+    return F.when(login != "", person)
 
 
-def git_identity(identity: Column) -> Column:
+def git_identity(prefix: str) -> Column:
     """Contributor of a bare name/e-mail pair. Only a hash of the e-mail is kept."""
-    email, name = text_at(identity, "email"), text_at(identity, "name")
+    email, name = F.col(f"{prefix}_email"), F.col(f"{prefix}_name")
     stripped = F.regexp_replace(email, f"^{_BLANK}+|{_BLANK}+$", "")
     basis = F.coalesce(
         _filled(F.lower(stripped)),
@@ -69,12 +88,16 @@ def git_identity(identity: Column) -> Column:
         F.lit("Unlinked"),
         display.endswith(BOT_SUFFIX),
     )
-    return F.when(_filled(email).isNotNull() | _filled(name).isNotNull(), person)
+    return F.when((email != "") | (name != ""), person)
+
+
+def commit_person_fields(role: str) -> dict[str, Column]:
+    return account_fields(role, f"_{role}") | identity_fields(f"commit.{role}", f"_{role}")
 
 
-def commit_person(data: Column, role: str) -> Column:
+def commit_person(role: str) -> Column:
     """The linked account of a commit role, else its git identity."""
-    return F.coalesce(linked_account(at(data, role)), git_identity(at(data, f"commit.{role}")))
+    return F.coalesce(linked_account(f"_{role}"), git_identity(f"_{role}"))
 
 
 def contributor_key(nk: Column) -> Column:

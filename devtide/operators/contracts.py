@@ -3,17 +3,27 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.instants import parse_instant
-from ..functions.payload import at, is_absent_or_null, is_array, is_type
+from ..functions.payload import at, json_type
 from ..schemas import ENTITIES
 
-Check = Callable[[Column], Column]
+
+class Value(NamedTuple):
+    """A payload value with its JSON type and its text, each read once."""
+
+    value: Column
+    kind: Column
+    text: Column
+
+
+Check = Callable[[Value], Column]
 
 # Fixed value: a full lower-case commit hash.
 SHA_PATTERN = "^[0-9a-f]{40}$"
@@ -30,37 +40,37 @@ class Rule:
     expected: str
 
 
-def _text(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
+def _is(value: Value, kind: str) -> Column:
+    return F.coalesce(value.kind == kind, F.lit(False))
 
 
-def is_integer(value: Column) -> Column:
-    return is_type(value, "BIGINT")
+def is_integer(value: Value) -> Column:
+    return _is(value, "BIGINT")
 
 
-def is_filled_text(value: Column) -> Column:
-    return is_type(value, "STRING") & F.coalesce(_text(value) != "", F.lit(False))
+def is_filled_text(value: Value) -> Column:
+    return _is(value, "STRING") & F.coalesce(value.text != "", F.lit(False))
 
 
-def is_instant(value: Column) -> Column:
-    return is_type(value, "STRING") & parse_instant(_text(value)).isNotNull()
+def is_instant(value: Value) -> Column:
+    return _is(value, "STRING") & parse_instant(value.text).isNotNull()
 
 
-def is_sha(value: Column) -> Column:
-    return is_type(value, "STRING") & F.coalesce(_text(value).rlike(SHA_PATTERN), F.lit(False))
+def is_sha(value: Value) -> Column:
+    return _is(value, "STRING") & F.coalesce(value.text.rlike(SHA_PATTERN), F.lit(False))
 
 
-def is_list(value: Column) -> Column:
-    return is_array(value)
+def is_list(value: Value) -> Column:
+    return F.coalesce(value.kind.startswith("ARRAY"), F.lit(False))
 
 
 def optional(check: Check) -> Check:
-    return lambda value: is_absent_or_null(value) | check(value)
+    return lambda value: F.coalesce(value.kind == "VOID", F.lit(True)) | check(value)
 
 
 def one_of(*allowed: str) -> Check:
-    return lambda value: is_type(value, "STRING") & F.coalesce(
-        _text(value).isin(*allowed), F.lit(False)
+    return lambda value: _is(value, "STRING") & F.coalesce(
+        value.text.isin(*allowed), F.lit(False)
     )
 
 
@@ -110,28 +120,43 @@ RULES: dict[str, tuple[Rule, ...]] = {
 }
 
 
-def problems(entity: str, rules: Sequence[Rule] | None = None) -> Column:
-    """The list of problems of one envelope row, in rule order; empty means valid."""
-    data = F.col("data")
+def with_values(df: DataFrame, columns: Mapping[str, Column]) -> tuple[DataFrame, list[Value]]:
+    """Project payload values, then their types and texts, so that none is read twice."""
+    names = [f"_{i}" for i in range(len(columns))]
+    df = df.withColumns(
+        {f"_value{n}": column for n, column in zip(names, columns.values(), strict=True)}
+    )
+    derived = {}
+    for n in names:
+        derived[f"_kind{n}"] = json_type(F.col(f"_value{n}"))
+        derived[f"_text{n}"] = F.try_variant_get(f"_value{n}", "$", "string")
+    values = [Value(*[F.col(f"_{part}{n}") for part in ("value", "kind", "text")]) for n in names]
+    return df.withColumns(derived), values
+
+
+def classify(raw: DataFrame, entity: str, rules: Sequence[Rule] | None = None) -> DataFrame:
+    """Add the ``problems`` of every envelope, in rule order; an empty list means valid."""
+    rules = RULES[entity] if rules is None else rules
+    wanted = {rule.path: at(F.col("data"), rule.path) for rule in rules}
+    if entity == "reviews":
+        wanted[PULL_NUMBER_MISSING] = at(F.col("context"), "pull_number")
+    df, values = with_values(raw, wanted)
+    by_path = dict(zip(wanted, values, strict=True))
     found = []
-    for rule in RULES[entity] if rules is None else rules:
-        value = at(data, rule.path)
+    for rule in rules:
         text = F.concat(
             F.lit(f"{rule.path}: expected {rule.expected}, got "),
-            F.coalesce(F.to_json(value), F.lit("null")),
+            F.coalesce(F.to_json(by_path[rule.path].value), F.lit("null")),
         )
-        found.append(F.when(~rule.check(value), text))
+        found.append(F.when(~rule.check(by_path[rule.path]), text))
     if entity == "reviews":
-        number = at(F.col("context"), "pull_number")
+        number = by_path[PULL_NUMBER_MISSING]
         found.append(F.when(~is_integer(number), F.lit(PULL_NUMBER_MISSING)))
-    listed = F.array_compact(F.array(*found))
     unreadable = F.col("repository").isNull() | F.col("data").isNull()
-    return F.when(unreadable, F.array(F.lit(MALFORMED))).otherwise(listed)
-
-
-def classify(raw: DataFrame, entity: str, rules: Sequence[Rule] | None = None) -> DataFrame:
-    """Add the ``problems`` column to raw envelopes of one entity."""
-    return raw.withColumn("problems", problems(entity, rules))
+    listed = F.when(unreadable, F.array(F.lit(MALFORMED))).otherwise(
+        F.array_compact(F.array(*found))
+    )
+    return df.select(*raw.columns, listed.alias("problems"))
 
 
 def valid(classified: DataFrame) -> DataFrame:

@@ -15,16 +15,18 @@ from pyspark.sql import functions as F
 
 from ..functions.instants import parse_instant
 from ..functions.payload import at, is_object, items, json_type, long_at, text_at, truthy
-from ..functions.people import PERSON_FIELDS, commit_person, linked_account
+from ..functions.people import (
+    PERSON_FIELDS,
+    account_fields,
+    commit_person,
+    commit_person_fields,
+    linked_account,
+)
 from ..functions.text import headline, repository_slug
 from ..schemas import STAGED, conform
 from .dedupe import keep_first, keep_last
 
 
-def _instant(path: str) -> Column:
-    return parse_instant(_text(path))
-
-
 def _text(path: str) -> Column:
     return text_at(F.col("data"), path)
 
@@ -61,8 +63,6 @@ def repository_columns() -> dict[str, Column]:
         "is_fork": _flag("fork"),
         "is_archived": _flag("archived"),
         "default_branch": _text("default_branch"),
-        "created_at": _instant("created_at"),
-        "pushed_at": _instant("pushed_at"),
         "stargazers_count": _long("stargazers_count"),
         "forks_count": _long("forks_count"),
         "open_issues_count": _long("open_issues_count"),
@@ -76,8 +76,6 @@ def commit_columns() -> dict[str, Column]:
         "commit_sha": _text("sha"),
         "author_nk": F.col("people")[0]["contributor_nk"],
         "committer_nk": F.col("people")[1]["contributor_nk"],
-        "authored_at": _instant("commit.author.date"),
-        "committed_at": _instant("commit.committer.date"),
         "message_headline": headline(_text("commit.message")),
         "parent_count": parent_count(F.col("data")),
         "html_url": _text("html_url"),
@@ -93,10 +91,6 @@ def pull_request_columns() -> dict[str, Column]:
         "title": _text("title"),
         "state": _text("state"),
         "is_draft": _flag("draft"),
-        "created_at": _instant("created_at"),
-        "updated_at": _instant("updated_at"),
-        "closed_at": _instant("closed_at"),
-        "merged_at": _instant("merged_at"),
         "base_ref": _text("base.ref"),
         "html_url": _text("html_url"),
     }
@@ -109,7 +103,6 @@ def review_columns() -> dict[str, Column]:
         "pr_number": long_at(F.col("context"), "pull_number"),
         "reviewer_nk": F.col("people")[0]["contributor_nk"],
         "review_state": _text("state"),
-        "submitted_at": _instant("submitted_at"),
     }
 
 
@@ -124,9 +117,6 @@ def issue_columns() -> dict[str, Column]:
         "title": _text("title"),
         "state": _text("state"),
         "state_reason": _text("state_reason"),
-        "created_at": _instant("created_at"),
-        "updated_at": _instant("updated_at"),
-        "closed_at": _instant("closed_at"),
         "comments_count": F.when(no_comments, F.lit(0)).otherwise(_long("comments")),
         "labels": labels(F.col("data")),
     }
@@ -140,6 +130,18 @@ COLUMNS = {
     "issues": issue_columns,
 }
 
+# The instants of every entity and where they are found.
+INSTANTS = {
+    "repositories": {"created_at": "created_at", "pushed_at": "pushed_at"},
+    "commits": {
+        "authored_at": "commit.author.date",
+        "committed_at": "commit.committer.date",
+    },
+    "pull_requests": {c: c for c in ("created_at", "updated_at", "closed_at", "merged_at")},
+    "reviews": {"submitted_at": "submitted_at"},
+    "issues": {c: c for c in ("created_at", "updated_at", "closed_at")},
+}
+
 # How a key seen twice is resolved, by position in the landing zone.
 SURVIVOR = {
     "repositories": (keep_last, ["github_repo_id"]),
@@ -150,28 +152,44 @@ SURVIVOR = {
 }
 
 
+# What is read from a payload first because several columns are derived from it.
+READ_FIRST = {
+    "repositories": dict,
+    "commits": lambda: commit_person_fields("author") | commit_person_fields("committer"),
+    "pull_requests": lambda: account_fields("user", "_user"),
+    "reviews": lambda: account_fields("user", "_user"),
+    "issues": lambda: account_fields("user", "_user"),
+}
+
+
 def people_of(entity: str) -> Column:
     """The contributors a record mentions, by role; NULL where a role has none."""
-    data = F.col("data")
     if entity == "commits":
-        return F.array(commit_person(data, "author"), commit_person(data, "committer"))
-    if entity == "repositories":
-        return F.array().cast("array<struct<contributor_nk:string>>")
-    return F.array(linked_account(at(data, "user")))
+        return F.array(commit_person("author"), commit_person("committer"))
+    return F.array(linked_account("_user"))
+
+
+def with_people(raw: DataFrame, entity: str) -> DataFrame:
+    read = raw.withColumns(READ_FIRST[entity]())
+    return read if entity == "repositories" else read.withColumn("people", people_of(entity))
 
 
 def flat_rows(raw: DataFrame, entity: str, *keep: str) -> DataFrame:
     """Typed rows of one entity, with their position, their people and ``keep`` columns."""
-    return raw.withColumn("people", people_of(entity)).select(
-        *keep,
-        # Landing order: repositories by slug, then as landed.
-        repository_slug(F.col("repository")).alias("_slug"),
-        F.col("ingest_seq").alias("_seq"),
-        *([] if entity == "repositories" else ["people"]),
-        *[
-            column.cast(STAGED[entity][name]).alias(name)
-            for name, column in COLUMNS[entity]().items()
-        ],
+    texts = {f"_text_{name}": _text(path) for name, path in INSTANTS[entity].items()}
+    instants = {name: parse_instant(F.col(f"_text_{name}")) for name in INSTANTS[entity]}
+    columns = COLUMNS[entity]() | instants
+    return (
+        with_people(raw, entity)
+        .withColumns(texts)
+        .select(
+            *keep,
+            # Landing order: repositories by slug, then as landed.
+            repository_slug(F.col("repository")).alias("_slug"),
+            F.col("ingest_seq").alias("_seq"),
+            *([] if entity == "repositories" else ["people"]),
+            *[columns[name].cast(kind).alias(name) for name, kind in STAGED[entity].items()],
+        )
     )
 
 

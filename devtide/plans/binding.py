@@ -97,7 +97,7 @@ def dim_contributor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- facts
-def shipped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shipped_orders(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """Orders with their repository and the first shipment on or after the order date.
 
     One shuffle per side: the aggregation groups by the join key (and columns that
@@ -105,7 +105,12 @@ def shipped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     subquery, which Spark would run as a nested loop.
     """
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
+        "o_orderkey",
+        "o_custkey",
+        "o_orderstatus",
+        "o_orderdate",
+        "o_orderpriority",
+        *extra,
     )
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("bigint").alias("nation")

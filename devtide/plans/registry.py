@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from . import oracle
 from .analytics import QUERIES
 from .binding import AS_OF, BoundStar
+from .operator_oracle import OPERATORS
+from .operator_queries import QUERIES_BY_OPERATOR
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -18,8 +20,8 @@ def _analytics(name: str) -> Runner:
 
 
 def queries() -> dict[str, Runner]:
-    return {name: _analytics(name) for name in QUERIES}
+    return {name: _analytics(name) for name in QUERIES} | QUERIES_BY_OPERATOR
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracle.ANALYTICS)
+    return oracle.ANALYTICS | OPERATORS
