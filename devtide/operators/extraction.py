@@ -6,7 +6,7 @@ Windows, high-water marks and restrictions are joins and aggregations over it.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from datetime import datetime
 from functools import reduce
 
@@ -116,18 +116,47 @@ def extract_increment(
     }
 
 
-def seen_per_repository(increment: dict[str, DataFrame]) -> DataFrame:
-    """Record count and latest change per repository and entity, pre-aggregated per entity."""
-    parts = []
-    for entity, df in increment.items():
-        latest = changed_at(entity) if entity in CHANGED_AT else F.lit(None).cast("timestamp")
-        part = df.select("repository", latest.alias("changed")).groupBy("repository")
-        parts.append(
-            part.agg(F.count("*").alias("records"), F.max("changed").alias("max_seen")).select(
-                F.lit(entity).alias("entity"), "repository", "records", "max_seen"
-            )
+# The same instant in the typed rows of an entity.
+TYPED_CHANGED_AT = {
+    "commits": "committed_at",
+    "pull_requests": "updated_at",
+    "issues": "updated_at",
+}
+
+
+def raw_changes(increment: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """``(repository, changed)`` of raw records."""
+    never = F.lit(None).cast("timestamp")
+    return {
+        entity: df.select(
+            "repository", (changed_at(entity) if entity in CHANGED_AT else never).alias("changed")
+        )
+        for entity, df in increment.items()
+    }
+
+
+def typed_changes(rows: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """``(repository, changed)`` of classified records, invalid ones included."""
+    never = F.lit(None).cast("timestamp")
+    return {
+        entity: df.select(
+            "repository",
+            (
+                F.col(TYPED_CHANGED_AT[entity]) if entity in TYPED_CHANGED_AT else never
+            ).alias("changed"),
         )
-    return reduce(DataFrame.unionByName, parts)
+        for entity, df in rows.items()
+    }
+
+
+def seen_per_repository(changes: Mapping[str, DataFrame]) -> DataFrame:
+    """Record count and latest change per repository and entity, in one shuffle."""
+    tagged = [df.withColumn("entity", F.lit(entity)) for entity, df in changes.items()]
+    return (
+        reduce(DataFrame.unionByName, tagged)
+        .groupBy("repository", "entity")
+        .agg(F.count("*").alias("records"), F.max("changed").alias("max_seen"))
+    )
 
 
 def new_watermark(previous: Column, max_seen: Column, truncated: Column) -> Column:
@@ -136,13 +165,10 @@ def new_watermark(previous: Column, max_seen: Column, truncated: Column) -> Colu
     return F.date_trunc("second", mark)
 
 
-def extraction_results(
-    increment: dict[str, DataFrame],
-    repositories: DataFrame,
-    window: DataFrame,
-    truncated: DataFrame,
+def extraction_plan(
+    repositories: DataFrame, window: DataFrame, truncated: DataFrame
 ) -> DataFrame:
-    """One row per repository and entity, empty listings included.
+    """One row per repository and entity: the window, and whether the listing was cut.
 
     ``truncated`` holds ``(repository, entity, truncated)`` for the listings that
     were cut short by the page cap.
@@ -151,25 +177,33 @@ def extraction_results(
         "repository", F.explode(F.array(*[F.lit(e) for e in ENTITIES])).alias("entity")
     )
     keys = ["repository", "entity"]
-    cut = F.coalesce("truncated", F.lit(False))
     return (
         wanted.join(window, keys, "left")
-        .join(seen_per_repository(increment), keys, "left")
         .join(truncated.select(*keys, "truncated"), keys, "left")
         .select(
             "entity",
             "repository",
-            F.coalesce("records", F.lit(0).cast("bigint")).alias("records"),
-            F.date_trunc("second", "since").alias("since"),
-            F.when(
-                F.col("entity").isin(*WATERMARKED),
-                new_watermark(F.col("previous"), F.col("max_seen"), cut),
-            ).alias("new_watermark"),
-            cut.alias("truncated"),
+            "previous",
+            "since",
+            F.coalesce("truncated", F.lit(False)).alias("truncated"),
         )
     )
 
 
+def extraction_results(plan: DataFrame, changes: Mapping[str, DataFrame]) -> DataFrame:
+    """What every planned listing brought, empty listings included, and its new mark."""
+    marked = F.col("entity").isin(*WATERMARKED)
+    mark = new_watermark(F.col("previous"), F.col("max_seen"), F.col("truncated"))
+    return plan.join(seen_per_repository(changes), ["repository", "entity"], "left").select(
+        "entity",
+        "repository",
+        F.coalesce("records", F.lit(0).cast("bigint")).alias("records"),
+        F.date_trunc("second", "since").alias("since"),
+        F.when(marked, mark).alias("new_watermark"),
+        "truncated",
+    )
+
+
 def record_counts(results: DataFrame) -> DataFrame:
     return results.groupBy("entity").agg(F.sum("records").alias("records"))
 

@@ -53,23 +53,24 @@ def _named_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.join(region, nation.n_regionkey == region.r_regionkey)
 
 
-def _valid_rows(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Typed rows of the valid raw records, with the pull requests out of the issues."""
-    raw = dict(RawRecords(spark, sf_dir))
-    raw["issues"] = extraction.drop_pull_requests(raw["issues"])
-    return {
-        e: flatten.flat_rows(contracts.valid(contracts.classify(raw[e], e)), e) for e in ENTITIES
-    }
+def _classified(
+    spark: SparkSession, sf_dir: str, *entities: str, pull_requests_in_issues: bool = False
+) -> dict[str, DataFrame]:
+    """Classified records through their files, as in a run: payloads are parsed once."""
+    root = scratch_dir(spark, "classified")
+    raw = RawRecords(spark, sf_dir)
+    for entity in entities:
+        rows = raw[entity]
+        if entity == "issues" and not pull_requests_in_issues:
+            rows = extraction.drop_pull_requests(rows)
+        staging.write_classified(rows, root, "r1", entity)
+    return {e: staging.read_classified(spark, root, "r1", e) for e in entities}
 
 
-def _kept_rows(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The same rows through the classified files, as a run does when it needs them twice."""
-    root = scratch_dir(spark, "classified")
-    raw = dict(RawRecords(spark, sf_dir))
-    raw["issues"] = extraction.drop_pull_requests(raw["issues"])
-    for entity in ENTITIES:
-        staging.write_classified(raw[entity], root, "r1", entity)
-    return {e: staging.read_classified(spark, root, "r1", e).filter("ok") for e in ENTITIES}
+def _valid_rows(spark: SparkSession, sf_dir: str, *entities: str) -> dict[str, DataFrame]:
+    """Typed rows of the valid raw records, with the pull requests out of the issues."""
+    kept = _classified(spark, sf_dir, *(entities or ENTITIES))
+    return {e: df.filter("ok") for e, df in kept.items()}
 
 
 # ------------------------------------------------------- landing, staging, sinks
@@ -113,7 +114,8 @@ def _increment(spark: SparkSession, sf_dir: str):
         F.lit("pull_requests").alias("entity"),
         F.lit(True).alias("truncated"),
     )
-    results = extraction.extraction_results(increment, repositories, window, truncated)
+    plan = extraction.extraction_plan(repositories, window, truncated)
+    results = extraction.extraction_results(plan, extraction.raw_changes(increment))
     return increment, results, marks, window
 
 
@@ -129,7 +131,7 @@ def extraction_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged pull requests written as Parquet and read through SQL, with the truncation."""
     root = scratch_dir(spark, "staged")
-    rows = flatten.stage(_valid_rows(spark, sf_dir)["pull_requests"], "pull_requests")
+    rows = flatten.stage(_valid_rows(spark, sf_dir, "pull_requests")["pull_requests"], "pull_requests")
     for _ in range(2):
         staging.write_staged(rows, root, "r1", "pull_requests")
     back = spark.read.schema(
@@ -146,7 +148,7 @@ def staged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts per staging table, observed while the tables are written."""
     root = scratch_dir(spark, "counts")
-    staged = flatten.stage_all(_kept_rows(spark, sf_dir))
+    staged = flatten.stage_all(_valid_rows(spark, sf_dir))
     counts = [(t, staging.write_staged(df, root, "r1", t)) for t, df in staged.items()]
     return spark.createDataFrame(counts, "table string, rows bigint")
 
@@ -165,7 +167,8 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invalid issues as written to and read from the quarantine."""
     root = scratch_dir(spark, "quarantine")
     raw = extraction.drop_pull_requests(RawRecords(spark, sf_dir)["issues"])
-    rows = staging.quarantine_rows(staging.classified_rows(raw, "issues"))
+    staging.write_classified(raw, root, "r1", "issues")
+    rows = staging.quarantine_rows(staging.read_classified(spark, root, "r1", "issues"))
     staging.write_quarantine(rows, root, "r1", "issues")
     back = staging.read_quarantine(spark, root, "r1", "issues")
     return back.select(
@@ -244,9 +247,11 @@ def extraction_record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------------- contracts
 def _problems(entity: str) -> Runner:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        bad = contracts.invalid(contracts.classify(RawRecords(spark, sf_dir)[entity], entity))
-        return bad.select(
-            "repository", "ingest_seq", F.array_join("problems", " | ").alias("problems")
+        rows = _classified(spark, sf_dir, entity, pull_requests_in_issues=True)[entity]
+        return contracts.invalid(rows).select(
+            "repository",
+            F.col("_seq").alias("ingest_seq"),
+            F.array_join("problems", " | ").alias("problems"),
         )
 
     return run
@@ -304,8 +309,8 @@ def contract_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = RawRecords(spark, sf_dir)
-    return contracts.contract_report({e: contracts.classify(raw[e], e) for e in ENTITIES}, spark)
+    rows = _classified(spark, sf_dir, *ENTITIES, pull_requests_in_issues=True)
+    return contracts.contract_report(rows, spark)
 
 
 @query
@@ -328,7 +333,7 @@ def contract_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------- flattening and people
 def _staged(entity: str) -> Runner:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = flatten.stage(_valid_rows(spark, sf_dir)[entity], entity)
+        rows = flatten.stage(_valid_rows(spark, sf_dir, entity)[entity], entity)
         if "labels" in rows.columns:
             rows = rows.withColumn("labels", F.array_join("labels", ","))
         return rows
@@ -401,13 +406,13 @@ def commit_people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def actor_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    people = flatten.actors(_kept_rows(spark, sf_dir))
+    people = flatten.actors(_valid_rows(spark, sf_dir))
     return people.groupBy("contributor_nk").agg(F.count("*").alias("mentions"))
 
 
 @query
 def staged_contributors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten.one_per_contributor(flatten.actors(_kept_rows(spark, sf_dir)))
+    return flatten.one_per_contributor(flatten.actors(_valid_rows(spark, sf_dir)))
 
 
 # --------------------------------------------------------------------------- dedupe
@@ -832,7 +837,7 @@ def report_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def cycle_time_from_raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From raw records through contracts, staging and star to the cycle time query."""
-    rows = _valid_rows(spark, sf_dir)
+    rows = _valid_rows(spark, sf_dir, "repositories", "pull_requests")
     dim = star.repository_dimension_rows(
         flatten.stage(rows["repositories"], "repositories"), FIRST_LOAD
     )

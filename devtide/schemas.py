@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ENTITIES = ("repositories", "commits", "pull_requests", "reviews", "issues")
 WATERMARKED = ("commits", "pull_requests", "issues")
@@ -127,6 +128,12 @@ PARTITION_COLUMN = {
     "fact_issue": "event_month",
 }
 
+# What an extraction asked for, per repository and entity.
+EXTRACTION_PLAN = _columns(
+    "entity string, repository string, previous timestamp, since timestamp, truncated boolean"
+)
+
+# What it brought, and the mark that follows from it.
 EXTRACTION_RESULTS = _columns(
     "run_id string, entity string, repository string, records bigint, "
     "since timestamp, new_watermark timestamp, truncated boolean"
@@ -139,7 +146,7 @@ def ddl(layout: Layout) -> str:
 
 def conform(df: DataFrame, layout: Layout) -> DataFrame:
     """Select exactly the columns of ``layout``, in order and with its types."""
-    return df.select(*[df[name].cast(kind).alias(name) for name, kind in layout.items()])
+    return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in layout.items()])
 
 
 def empty(spark: SparkSession, layout: Layout) -> DataFrame:
