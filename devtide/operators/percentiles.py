@@ -34,25 +34,34 @@ def _running(partition: Sequence[str]) -> Column:
     return F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
+def value_counts(
+    rows: DataFrame, keys: Sequence[str], value: str, shifts: Sequence[int]
+) -> DataFrame:
+    """Occurrences ``n`` of every value per group, with the prefixes of the value.
+
+    ``shifts`` are the bit positions at which a value is cut into digits, most
+    significant first: ``(34, 17)`` makes three digits. NULL keys and values are
+    dropped here, once, so that every later use reads the same shuffle.
+    """
+    prefixes = [f"_p{i}" for i in range(len(shifts))]
+    cut = {p: F.shiftright(value, shift) for p, shift in zip(prefixes, shifts, strict=True)}
+    columns = [*keys, value, *prefixes]
+    known = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    return (
+        rows.withColumns(cut).filter(known).groupBy(*columns).agg(F.count("*").alias("n"))
+    )
+
+
 def exact_percentiles(
-    counts: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    weight: str,
-    probabilities: Mapping[str, float],
-    shifts: Sequence[int],
+    counts: DataFrame, keys: Sequence[str], value: str, probabilities: Mapping[str, float]
 ) -> DataFrame:
     """Percentiles of a bigint column per group, linearly interpolated, as doubles.
 
-    ``counts`` has one row per (``keys``, ``value``) with the number of occurrences
-    in ``weight``. ``shifts`` are the bit positions at which values are cut into
-    digits, most significant first, for example ``(34, 17)`` for three digits.
+    ``counts`` comes from ``value_counts``.
     """
     keys = list(keys)
-    top = shifts[0]
-    histogram = counts.groupBy(*keys, F.shiftright(value, top).alias("_digit")).agg(
-        F.sum(weight).alias("_n")
-    )
+    digits = [c for c in counts.columns if c.startswith("_p")] + [value]
+    histogram = counts.groupBy(*keys, F.col(digits[0]).alias("_digit")).agg(F.sum("n").alias("_n"))
     total = F.sum("_n").over(Window.partitionBy(*keys))
     ranked = histogram.withColumns({"_cum": _running(keys), "_total": total})
     start = F.col("_cum") - F.col("_n")
@@ -64,21 +73,22 @@ def exact_percentiles(
         *keys, "_total", "_digit", start.alias("_start"), F.explode(here).alias("_t")
     ).select(
         *keys,
-        F.col("_digit").alias("_prefix"),
+        F.col("_digit").alias(digits[0]),
         F.col("_t.name").alias("_name"),
         F.col("_t.side").alias("_side"),
         (F.col("_t.rank") - F.col("_start")).alias("_rank"),
         "_total",
     )
-    for above, below in zip(shifts, [*shifts[1:], 0], strict=True):
-        target = [*keys, "_name", "_side"]
-        narrowed = counts.withColumn("_prefix", F.shiftright(value, above)).join(
-            picks, [*keys, "_prefix"]
-        )
-        histogram = narrowed.groupBy(*target, F.shiftright(value, below).alias("_digit")).agg(
-            F.sum(weight).alias("_n"),
-            F.first("_rank").alias("_rank"),
-            F.first("_total").alias("_total"),
+    target = [*keys, "_name", "_side"]
+    for prefix, digit in zip(digits, digits[1:], strict=False):
+        histogram = (
+            counts.join(picks, [*keys, prefix])
+            .groupBy(*target, F.col(digit).alias("_digit"))
+            .agg(
+                F.sum("n").alias("_n"),
+                F.first("_rank").alias("_rank"),
+                F.first("_total").alias("_total"),
+            )
         )
         start = F.col("_cum") - F.col("_n")
         picks = (
@@ -86,7 +96,7 @@ def exact_percentiles(
             .filter((F.col("_rank") >= start) & (F.col("_rank") < F.col("_cum")))
             .select(
                 *target,
-                F.col("_digit").alias("_prefix"),
+                F.col("_digit").alias(digit),
                 (F.col("_rank") - start).alias("_rank"),
                 "_total",
             )
@@ -95,7 +105,7 @@ def exact_percentiles(
     for name, p in probabilities.items():
         spot = F.lit(p) * (F.max("_total") - 1)
         low, high = (
-            F.max(F.when((F.col("_name") == name) & (F.col("_side") == side), F.col("_prefix")))
+            F.max(F.when((F.col("_name") == name) & (F.col("_side") == side), F.col(value)))
             for side in ("low", "high")
         )
         found += [
@@ -104,12 +114,8 @@ def exact_percentiles(
             (spot - F.floor(spot)).alias(f"_{name}_part"),
         ]
     wide = picks.groupBy(*keys).agg(*found)
-    return wide.select(
-        *keys,
-        *[
-            (
-                F.col(f"_{n}_low") + F.col(f"_{n}_part") * (F.col(f"_{n}_high") - F.col(f"_{n}_low"))
-            ).alias(n)
-            for n in probabilities
-        ],
-    )
+    between = {
+        n: F.col(f"_{n}_low") + F.col(f"_{n}_part") * (F.col(f"_{n}_high") - F.col(f"_{n}_low"))
+        for n in probabilities
+    }
+    return wide.select(*keys, *[column.alias(n) for n, column in between.items()])

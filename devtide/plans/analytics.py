@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.instants import MICROS_PER_HOUR, micros_between, week_start
-from ..operators.percentiles import exact_percentiles
+from ..operators.percentiles import exact_percentiles, value_counts
 
 Star = Mapping[str, DataFrame]
 Query = Callable[[Star, date], DataFrame]
@@ -99,19 +99,15 @@ def pr_cycle_time_by_repository(star: Star, as_of: date) -> DataFrame:
     loses nothing and serves the mean and the percentiles alike.
     """
     hundredths = (F.col("cycle_time_hours") * 100).cast("bigint")
-    counts = (
-        star["fact_pull_request"]
-        .filter("is_merged")
-        .groupBy("repository_key", hundredths.alias("value"))
-        .agg(F.count("*").alias("n"))
+    merged = star["fact_pull_request"].filter("is_merged").select(
+        "repository_key", hundredths.alias("value")
     )
+    counts = value_counts(merged, ["repository_key"], "value", (12,))
     weighted = F.col("value").cast("decimal(20,0)") * F.col("n").cast("decimal(18,0)")
     totals = counts.groupBy("repository_key").agg(
         F.sum("n").alias("merged_prs"), F.sum(weighted).alias("hundredths")
     )
-    spread = exact_percentiles(
-        counts, ["repository_key"], "value", "n", {"p50": 0.5, "p90": 0.9}, (12,)
-    )
+    spread = exact_percentiles(counts, ["repository_key"], "value", {"p50": 0.5, "p90": 0.9})
     mean = F.col("hundredths").cast("decimal(28,10)") / (F.col("merged_prs") * 100).cast(
         "decimal(20,0)"
     )
@@ -154,28 +150,12 @@ def avg_time_to_merge_trend(star: Star, as_of: date) -> DataFrame:
 def review_activity(star: Star, as_of: date) -> DataFrame:
     """Review coverage, mix and time to the first review per repository.
 
-    The only join between facts is on the pull request key, unique on both sides.
-    Its result is counted by (repository, delay), where a NULL delay stands for a
-    pull request without a review; the review mix comes from the review fact alone,
-    whose repository is that of its pull request.
+    The only join between facts is on the pull request key, unique on both sides; its
+    result is counted by (repository, delay). What needs no join is counted from one
+    fact alone: the repository of a review is that of its pull request.
     """
-    first = (
-        star["fact_review"]
-        .groupBy("pull_request_key")
-        .agg(F.min("submitted_at").alias("first_review_at"))
-    )
-    delay = micros_between(F.col("created_at"), F.col("first_review_at"))
-    counts = (
-        star["fact_pull_request"]
-        .select("pull_request_key", "repository_key", "created_at")
-        .join(first, "pull_request_key", "left")
-        .groupBy("repository_key", delay.alias("value"))
-        .agg(F.count("*").alias("n"))
-    )
-    prs = counts.groupBy("repository_key").agg(
-        F.sum("n").alias("prs"),
-        _zero(F.sum(F.when(F.col("value").isNotNull(), F.col("n")))).alias("prs_reviewed"),
-    )
+    pulls = star["fact_pull_request"]
+    prs = pulls.groupBy("repository_key").agg(F.count("*").alias("prs"))
     mix = (
         star["fact_review"]
         .groupBy("repository_key")
@@ -185,19 +165,32 @@ def review_activity(star: Star, as_of: date) -> DataFrame:
             F.count_if(F.col("review_state") == "CHANGES_REQUESTED").alias("change_requests"),
         )
     )
-    waited = counts.filter("value IS NOT NULL")
-    median = exact_percentiles(waited, ["repository_key"], "value", "n", {"p50": 0.5}, (34, 17))
-    percent = (F.col("prs_reviewed") * 100).cast("decimal(28,10)") / F.col("prs").cast(
+    first = (
+        star["fact_review"]
+        .groupBy("pull_request_key")
+        .agg(F.min("submitted_at").alias("first_review_at"))
+    )
+    delay = micros_between(F.col("created_at"), F.col("first_review_at"))
+    waited = (
+        pulls.select("pull_request_key", "repository_key", "created_at")
+        .join(first, "pull_request_key")
+        .select("repository_key", delay.alias("value"))
+    )
+    counts = value_counts(waited, ["repository_key"], "value", (34, 17))
+    reviewed = counts.groupBy("repository_key").agg(F.sum("n").alias("prs_reviewed"))
+    median = exact_percentiles(counts, ["repository_key"], "value", {"p50": 0.5})
+    percent = (_zero("prs_reviewed") * 100).cast("decimal(28,10)") / F.col("prs").cast(
         "decimal(20,0)"
     )
     return (
         prs.join(mix, "repository_key", "left")
+        .join(reviewed, "repository_key", "left")
         .join(median, "repository_key", "left")
         .join(_repository_names(star), "repository_key")
         .select(
             "repository",
             "prs",
-            "prs_reviewed",
+            _zero("prs_reviewed").alias("prs_reviewed"),
             _rounded(percent).alias("pct_reviewed"),
             _zero("total_reviews").alias("total_reviews"),
             _zero("approvals").alias("approvals"),

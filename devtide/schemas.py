@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 ENTITIES = ("repositories", "commits", "pull_requests", "reviews", "issues")
 WATERMARKED = ("commits", "pull_requests", "issues")
@@ -146,7 +145,7 @@ def ddl(layout: Layout) -> str:
 
 def conform(df: DataFrame, layout: Layout) -> DataFrame:
     """Select exactly the columns of ``layout``, in order and with its types."""
-    return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in layout.items()])
+    return df.selectExpr(*[f"CAST({name} AS {kind}) AS {name}" for name, kind in layout.items()])
 
 
 def empty(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -42,8 +42,8 @@ def commit(seed, date, account, name="Dev", email="dev@example.com", parents=1,
     return {
         "sha": f"{seed:040x}",
         "commit": {
-            "author": person,
-            "committer": person,
+            "author": dict(person),
+            "committer": dict(person),
             "message": "Fix widget alignment\n\nDetails",
         },
         "author": account,
