@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.instants import date_key, hours_between, month_start
 from ..functions.people import contributor_key
 from ..schemas import STAGED, WAREHOUSE, conform
+from .constraints import MERGE_KEYS
 from .dedupe import keep_last
 from .merge import merge_upsert, take_new
 
@@ -227,13 +228,6 @@ def _person(nk: str) -> Column:
     return F.when(F.col(nk).isNotNull(), contributor_key(F.col(nk)))
 
 
-FACT_KEYS = {
-    "fact_commit": ("repository_key", "commit_sha"),
-    "fact_pull_request": ("pull_request_key",),
-    "fact_review": ("review_key",),
-    "fact_issue": ("issue_key",),
-}
-
 # The columns a repeated load overwrites; all others keep their first value.
 FACT_OVERWRITTEN = {
     "fact_commit": ("author_key", "committer_key", "message_headline", "loaded_at"),
@@ -274,7 +268,7 @@ def merge_fact(table: str, target: DataFrame, rows: DataFrame) -> DataFrame:
     merged = merge_upsert(
         target,
         rows,
-        FACT_KEYS[table],
+        MERGE_KEYS[table],
         take_new(*FACT_OVERWRITTEN[table]),
         not_older if table in SNAPSHOT_FACTS else None,
     )
