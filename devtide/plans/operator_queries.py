@@ -873,12 +873,10 @@ def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         max_invalid_ratio=1.0,
         calendar=CALENDAR,
     )
-    raw = dict(RawRecords(spark, sf_dir))
-    raw["issues"] = extraction.drop_pull_requests(raw["issues"])
+    raw = RawRecords(spark, sf_dir)
     state = F.try_variant_get("data", "$.state", "string")
-    runs = {"r1": state == "open", "r2": state != "open"}
-    for run, kept in runs.items():
-        for entity in ENTITIES:
+    for run, kept in {"r1": state == "open", "r2": state != "open"}.items():
+        for entity in ("repositories", "pull_requests"):
             rows = raw[entity].filter(kept) if entity == "pull_requests" else raw[entity]
             landing.write_landing(rows, settings.data_dir, run, entity, SECOND_LOAD)
         ingest.start_ingest(spark, settings, f"{root}/checkpoint").awaitTermination()

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Hashable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+Key = TypeVar("Key", bound=Hashable)
+Result = TypeVar("Result")
+
 RUNTIME_CONF = {
     # Every instant in the model is UTC; date keys and weeks depend on it.
     "spark.sql.session.timeZone": "UTC",
@@ -21,6 +28,10 @@ RUNTIME_CONF = {
 }
 
 
+# Scratch folder per local application, where none is configured.
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Set the runtime options the model relies on in an existing session."""
     for key, value in RUNTIME_CONF.items():
@@ -56,6 +67,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="devtide-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _LOCAL_SCRATCH.setdefault(
+            spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="devtide-")
+        )
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def together(jobs: Mapping[Key, Callable[[], Result]]) -> dict[Key, Result]:
+    """Submit independent Spark jobs at once, so that one fills the other's idle slots."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        running = {key: pool.submit(inheritable_thread_target(job)) for key, job in jobs.items()}
+        return {key: future.result() for key, future in running.items()}
