@@ -16,11 +16,12 @@ from ..schemas import ENTITIES
 
 
 class Value(NamedTuple):
-    """A payload value with its JSON type and its text, each read once."""
+    """A payload value with its JSON type, its text and the instant in it, each read once."""
 
     value: Column
     kind: Column
     text: Column
+    instant: Column
 
 
 Check = Callable[[Value], Column]
@@ -53,7 +54,7 @@ def is_filled_text(value: Value) -> Column:
 
 
 def is_instant(value: Value) -> Column:
-    return _is(value, "STRING") & parse_instant(value.text).isNotNull()
+    return _is(value, "STRING") & value.instant.isNotNull()
 
 
 def is_sha(value: Value) -> Column:
@@ -120,43 +121,64 @@ RULES: dict[str, tuple[Rule, ...]] = {
 }
 
 
-def with_values(df: DataFrame, columns: Mapping[str, Column]) -> tuple[DataFrame, list[Value]]:
-    """Project payload values, then their types and texts, so that none is read twice."""
-    names = [f"_{i}" for i in range(len(columns))]
-    df = df.withColumns(
-        {f"_value{n}": column for n, column in zip(names, columns.values(), strict=True)}
-    )
+def with_values(
+    df: DataFrame, columns: Mapping[str, Column], instants: Sequence[str] = ()
+) -> tuple[DataFrame, dict[str, Value]]:
+    """Project payload values, then their types and texts, so that none is read twice.
+
+    The values named in ``instants`` are also parsed here; of the others an instant
+    is only parsed where a check asks for it.
+    """
+    number = {name: i for i, name in enumerate(columns)}
+    df = df.withColumns({f"_value_{number[c]}": column for c, column in columns.items()})
     derived = {}
-    for n in names:
-        derived[f"_kind{n}"] = json_type(F.col(f"_value{n}"))
-        derived[f"_text{n}"] = F.try_variant_get(f"_value{n}", "$", "string")
-    values = [Value(*[F.col(f"_{part}{n}") for part in ("value", "kind", "text")]) for n in names]
-    return df.withColumns(derived), values
+    for i in number.values():
+        derived[f"_kind_{i}"] = json_type(F.col(f"_value_{i}"))
+        derived[f"_text_{i}"] = F.try_variant_get(f"_value_{i}", "$", "string")
+    df = df.withColumns(derived)
+    parsed = {f"_instant_{number[c]}": parse_instant(F.col(f"_text_{number[c]}")) for c in instants}
+    values = {
+        name: Value(
+            F.col(f"_value_{i}"),
+            F.col(f"_kind_{i}"),
+            F.col(f"_text_{i}"),
+            F.col(f"_instant_{i}") if name in instants else parse_instant(F.col(f"_text_{i}")),
+        )
+        for name, i in number.items()
+    }
+    return (df.withColumns(parsed) if parsed else df), values
 
 
-def classify(raw: DataFrame, entity: str, rules: Sequence[Rule] | None = None) -> DataFrame:
-    """Add the ``problems`` of every envelope, in rule order; an empty list means valid."""
+def check(
+    raw: DataFrame, entity: str, rules: Sequence[Rule] | None = None
+) -> tuple[DataFrame, dict[str, Value]]:
+    """Add the ``problems`` of every envelope; also returns the values by path."""
     rules = RULES[entity] if rules is None else rules
     wanted = {rule.path: at(F.col("data"), rule.path) for rule in rules}
+    instants = [rule.path for rule in rules if rule.expected in (INSTANT, INSTANT_OR_NULL)]
     if entity == "reviews":
         wanted[PULL_NUMBER_MISSING] = at(F.col("context"), "pull_number")
-    df, values = with_values(raw, wanted)
-    by_path = dict(zip(wanted, values, strict=True))
+    df, values = with_values(raw, wanted, instants)
     found = []
     for rule in rules:
         text = F.concat(
             F.lit(f"{rule.path}: expected {rule.expected}, got "),
-            F.coalesce(F.to_json(by_path[rule.path].value), F.lit("null")),
+            F.coalesce(F.to_json(values[rule.path].value), F.lit("null")),
         )
-        found.append(F.when(~rule.check(by_path[rule.path]), text))
+        found.append(F.when(~rule.check(values[rule.path]), text))
     if entity == "reviews":
-        number = by_path[PULL_NUMBER_MISSING]
+        number = values[PULL_NUMBER_MISSING]
         found.append(F.when(~is_integer(number), F.lit(PULL_NUMBER_MISSING)))
     unreadable = F.col("repository").isNull() | F.col("data").isNull()
     listed = F.when(unreadable, F.array(F.lit(MALFORMED))).otherwise(
         F.array_compact(F.array(*found))
     )
-    return df.select(*raw.columns, listed.alias("problems"))
+    return df.withColumn("problems", listed), values
+
+
+def classify(raw: DataFrame, entity: str, rules: Sequence[Rule] | None = None) -> DataFrame:
+    """Envelopes with their ``problems``, in rule order; an empty list means valid."""
+    return check(raw, entity, rules)[0].select(*raw.columns, "problems")
 
 
 def valid(classified: DataFrame) -> DataFrame:

@@ -35,10 +35,6 @@ def _long(path: str) -> Column:
     return long_at(F.col("data"), path)
 
 
-def _flag(path: str) -> Column:
-    return truthy(at(F.col("data"), path))
-
-
 def labels(data: Column) -> Column:
     """Names of the label objects; entries that are not objects are skipped."""
     objects = F.filter(items(at(data, "labels")), is_object)
@@ -59,9 +55,6 @@ def repository_columns() -> dict[str, Column]:
         "name": _text("name"),
         "description": _text("description"),
         "language": _text("language"),
-        "is_private": _flag("private"),
-        "is_fork": _flag("fork"),
-        "is_archived": _flag("archived"),
         "default_branch": _text("default_branch"),
         "stargazers_count": _long("stargazers_count"),
         "forks_count": _long("forks_count"),
@@ -90,7 +83,6 @@ def pull_request_columns() -> dict[str, Column]:
         "author_nk": F.col("people")[0]["contributor_nk"],
         "title": _text("title"),
         "state": _text("state"),
-        "is_draft": _flag("draft"),
         "base_ref": _text("base.ref"),
         "html_url": _text("html_url"),
     }
@@ -142,6 +134,12 @@ INSTANTS = {
     "issues": {c: c for c in ("created_at", "updated_at", "closed_at")},
 }
 
+# Flags follow the truth value of whatever JSON value is there.
+FLAGS = {
+    "repositories": {"is_private": "private", "is_fork": "fork", "is_archived": "archived"},
+    "pull_requests": {"is_draft": "draft"},
+}
+
 # How a key seen twice is resolved, by position in the landing zone.
 SURVIVOR = {
     "repositories": (keep_last, ["github_repo_id"]),
@@ -174,14 +172,25 @@ def with_people(raw: DataFrame, entity: str) -> DataFrame:
     return read if entity == "repositories" else read.withColumn("people", people_of(entity))
 
 
-def flat_rows(raw: DataFrame, entity: str, *keep: str) -> DataFrame:
-    """Typed rows of one entity, with their position, their people and ``keep`` columns."""
-    texts = {f"_text_{name}": _text(path) for name, path in INSTANTS[entity].items()}
-    instants = {name: parse_instant(F.col(f"_text_{name}")) for name in INSTANTS[entity]}
-    columns = COLUMNS[entity]() | instants
+def flat_rows(
+    raw: DataFrame, entity: str, *keep: str, parsed: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Typed rows of one entity, with their position, their people and ``keep`` columns.
+
+    ``parsed`` holds instants by path that a check has already read.
+    """
+    parsed = parsed or {}
+    unread = {n: path for n, path in INSTANTS[entity].items() if path not in parsed}
+    flags = FLAGS.get(entity, {})
+    read = {f"_text_of_{name}": _text(path) for name, path in unread.items()}
+    read |= {f"_value_of_{name}": at(F.col("data"), path) for name, path in flags.items()}
+    columns = COLUMNS[entity]()
+    for name, path in INSTANTS[entity].items():
+        columns[name] = parsed.get(path, parse_instant(F.col(f"_text_of_{name}")))
+    columns |= {name: truthy(F.col(f"_value_of_{name}")) for name in flags}
     return (
         with_people(raw, entity)
-        .withColumns(texts)
+        .withColumns(read)
         .select(
             *keep,
             # Landing order: repositories by slug, then as landed.

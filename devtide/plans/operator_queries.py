@@ -283,8 +283,7 @@ def contract_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = (
         "props.k value kind.k kind blank at day nothing absent sha shouted list props"
     ).split()
-    rows, values = contracts.with_values(rows, {p: at(F.col("data"), p) for p in paths})
-    v = dict(zip(paths, values, strict=True))
+    rows, v = contracts.with_values(rows, {p: at(F.col("data"), p) for p in paths})
     maybe_instant = contracts.optional(contracts.is_instant)
     return rows.select(
         "event_id",

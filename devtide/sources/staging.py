@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.contracts import classify
+from ..operators.contracts import check
 from ..operators.flatten import flat_rows
 from ..schemas import STAGED, conform, ddl
 
@@ -14,14 +14,18 @@ def classified_rows(raw: DataFrame, entity: str) -> DataFrame:
     """Check and flatten in one pass; payload text is kept for invalid records only."""
     bad = F.size("problems") > 0
     line = F.col("_corrupt_record") if "_corrupt_record" in raw.columns else F.lit(None)
-    kept = classify(raw, entity).withColumns(
+    checked, values = check(raw, entity)
+    kept = checked.withColumns(
         {
             "ok": ~bad,
             "payload": F.when(bad, F.to_json("data")),
             "line": F.when(bad, line.cast("string")),
         }
     )
-    return flat_rows(kept, entity, "ok", "repository", "problems", "payload", "line")
+    instants = {path: value.instant for path, value in values.items()}
+    return flat_rows(
+        kept, entity, "ok", "repository", "problems", "payload", "line", parsed=instants
+    )
 
 
 def classified_path(root: str, run_id: str, entity: str) -> str:
