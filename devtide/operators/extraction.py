@@ -177,9 +177,10 @@ def extraction_plan(
         "repository", F.explode(F.array(*[F.lit(e) for e in ENTITIES])).alias("entity")
     )
     keys = ["repository", "entity"]
+    cut = truncated.groupBy(*keys).agg(F.bool_or("truncated").alias("truncated"))
     return (
         wanted.join(window, keys, "left")
-        .join(truncated.select(*keys, "truncated"), keys, "left")
+        .join(cut, keys, "left")
         .select(
             "entity",
             "repository",

@@ -73,8 +73,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def together(jobs: Mapping[Key, Callable[[], Result]]) -> dict[Key, Result]:
+def together(
+    spark: SparkSession, jobs: Mapping[Key, Callable[[], Result]]
+) -> dict[Key, Result]:
     """Submit independent Spark jobs at once, so that one fills the other's idle slots."""
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        running = {key: pool.submit(inheritable_thread_target(job)) for key, job in jobs.items()}
+        running = {key: pool.submit(inherit(job)) for key, job in jobs.items()}
         return {key: future.result() for key, future in running.items()}
