@@ -20,7 +20,8 @@ def parse_instant(text: Column) -> Column:
     minute_only = r"^(.{10}[T ]\d{2}:\d{2})(?=$|Z|[+-])"
     padded = F.regexp_replace(F.regexp_replace(text, hour_only, "$1:00"), minute_only, "$1:00")
     # With seconds in place there is nothing to pad, which is the usual case.
-    canonical = F.translate(F.when(F.substring(text, 17, 1) == ":", text).otherwise(padded), ",", ".")
+    complete = F.when(F.substring(text, 17, 1) == ":", text).otherwise(padded)
+    canonical = F.translate(complete, ",", ".")
     return F.when(text.rlike(ISO_INSTANT), canonical.try_cast("timestamp"))
 
 

@@ -134,7 +134,9 @@ def _in_known_repository(staged: DataFrame, dim_repository: DataFrame) -> DataFr
     No broadcast hint: the planner broadcasts the two dimension columns when their
     size allows it and otherwise splits the rows of a hot repository at run time.
     """
-    names = dim_repository.select(F.col("full_name").alias("repository_full_name"), "repository_key")
+    names = dim_repository.select(
+        F.col("full_name").alias("repository_full_name"), "repository_key"
+    )
     return staged.join(names, "repository_full_name")
 
 
@@ -169,7 +171,10 @@ def pull_request_fact_rows(staged: DataFrame, dim_repository: DataFrame, now: No
         "updated_at",
         "closed_at",
         "merged_at",
-        *[date_key(F.col(f"{c}_at")).alias(f"{c}_date_key") for c in ("created", "closed", "merged")],
+        *[
+            date_key(F.col(f"{c}_at")).alias(f"{c}_date_key")
+            for c in ("created", "closed", "merged")
+        ],
         "base_ref",
         "html_url",
         F.lit(now).alias("loaded_at"),

@@ -204,7 +204,9 @@ LINE_ORDER = ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")
 def review_state() -> Column:
     flag = F.col("l_returnflag")
     return (
-        F.when(flag == "A", "APPROVED").when(flag == "R", "CHANGES_REQUESTED").otherwise("COMMENTED")
+        F.when(flag == "A", "APPROVED")
+        .when(flag == "R", "CHANGES_REQUESTED")
+        .otherwise("COMMENTED")
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from ..operators import contracts, extraction, flatten, quality, runlog, star
 from ..operators.constraints import constraint_violations
 from ..operators.dedupe import keep_first, keep_last
 from ..schemas import ENTITIES, STAGED, WATERMARKED, conform
-from ..session import scratch_dir
+from ..session import scratch_dir, together
 from ..sources import landing, reports, staging
 from ..sources.calendar import calendar_days
 from ..sources.warehouse import Warehouse
@@ -58,13 +58,12 @@ def _classified(
 ) -> dict[str, DataFrame]:
     """Classified records through their files, as in a run: payloads are parsed once."""
     root = scratch_dir(spark, "classified")
-    raw = RawRecords(spark, sf_dir)
-    for entity in entities:
-        rows = raw[entity]
-        if entity == "issues" and not pull_requests_in_issues:
-            rows = extraction.drop_pull_requests(rows)
-        staging.write_classified(rows, root, "r1", entity)
-    return {e: staging.read_classified(spark, root, "r1", e) for e in entities}
+    raw = {entity: RawRecords(spark, sf_dir)[entity] for entity in entities}
+    if "issues" in raw and not pull_requests_in_issues:
+        raw["issues"] = extraction.drop_pull_requests(raw["issues"])
+    write = staging.write_classified
+    together(spark, {e: partial(write, raw[e], root, "r1", e) for e in raw})
+    return {e: staging.read_classified(spark, root, "r1", e) for e in raw}
 
 
 def _valid_rows(spark: SparkSession, sf_dir: str, *entities: str) -> dict[str, DataFrame]:
@@ -131,7 +130,8 @@ def extraction_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged pull requests written as Parquet and read through SQL, with the truncation."""
     root = scratch_dir(spark, "staged")
-    rows = flatten.stage(_valid_rows(spark, sf_dir, "pull_requests")["pull_requests"], "pull_requests")
+    valid = _valid_rows(spark, sf_dir, "pull_requests")
+    rows = flatten.stage(valid["pull_requests"], "pull_requests")
     for _ in range(2):
         staging.write_staged(rows, root, "r1", "pull_requests")
     back = spark.read.schema(
@@ -149,8 +149,9 @@ def load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts per staging table, observed while the tables are written."""
     root = scratch_dir(spark, "counts")
     staged = flatten.stage_all(_valid_rows(spark, sf_dir))
-    counts = [(t, staging.write_staged(df, root, "r1", t)) for t, df in staged.items()]
-    return spark.createDataFrame(counts, "table string, rows bigint")
+    write = staging.write_staged
+    counts = together(spark, {t: partial(write, df, root, "r1", t) for t, df in staged.items()})
+    return spark.createDataFrame(list(counts.items()), "table string, rows bigint")
 
 
 @query
@@ -484,7 +485,8 @@ def merge_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = ordered.distinct()
     last = ordered.agg(F.max("full_date").alias("d"))
     days = calendar_days(spark, *CALENDAR).filter(F.col("full_date") <= last.scalar())
-    merged = star.merge_dates(days.join(known, "full_date", "left_semi").select(*days.columns), days)
+    target = days.join(known, "full_date", "left_semi").select(*days.columns)
+    merged = star.merge_dates(target, days)
     return merged.select("date_key", "full_date", "week_start_date", "iso_year", "iso_week")
 
 

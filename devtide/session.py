@@ -67,9 +67,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-        base = _LOCAL_SCRATCH.setdefault(
-            spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="devtide-")
-        )
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_SCRATCH:
+            _LOCAL_SCRATCH[application] = tempfile.mkdtemp(prefix="devtide-")
+        base = _LOCAL_SCRATCH[application]
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
