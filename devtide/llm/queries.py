@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .language_id import op2_language_id
+from .ngram_join import op9_ngram_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
+    "op9_ngram_join": op9_ngram_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
