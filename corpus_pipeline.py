@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devtide.llm import bpe, decontamination, language_id, ngram_join, secrets, shared
+from devtide.llm import bpe, decontamination, language_id, ngram_join, secret_scan, shared
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced in the text; all documents stay."""
-    return secrets.redact(docs, secrets.public_ranks())
+    return secret_scan.redact(docs, secret_scan.public_ranks())
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

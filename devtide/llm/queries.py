@@ -9,14 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op4_bpe_codec
 from .decontamination import op1_decontamination
 from .language_id import op2_language_id
+from .licenses import op7_license_scan
 from .ngram_join import op9_ngram_join
-from .secrets import op3_secret_scan
+from .quality import op8_quality_rules
+from .secret_scan import op3_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
     "op3_secret_scan": op3_secret_scan,
     "op4_bpe_codec": op4_bpe_codec,
+    "op7_license_scan": op7_license_scan,
+    "op8_quality_rules": op8_quality_rules,
     "op9_ngram_join": op9_ngram_join,
 }
 

@@ -166,14 +166,14 @@ def word_bounds(
 
 
 def word_hashes(
-    data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = NOT_SPACE
+    data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = NOT_SPACE, lower: bool = True
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """64-bit hashes of all words with A-Z lower-cased: hashes, first word of each text,
-    starts, ends."""
+    """64-bit hashes of all words, with A-Z lower-cased unless told otherwise: hashes, first
+    word of each text, starts, ends."""
     starts, ends, first = word_bounds(data, offsets, kind)
     power, inverse = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_LOWERED[data] * power[: len(data)], out=sums[1:])
+    np.cumsum((_LOWERED if lower else _BYTE)[data] * power[: len(data)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * inverse[starts]), first, starts, ends
 
 
