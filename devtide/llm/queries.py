@@ -13,12 +13,14 @@ from .licenses import op7_license_scan
 from .ngram_join import op9_ngram_join
 from .quality import op8_quality_rules
 from .secret_scan import op3_secret_scan
+from .toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
     "op3_secret_scan": op3_secret_scan,
     "op4_bpe_codec": op4_bpe_codec,
+    "op5_toxicity": op5_toxicity,
     "op7_license_scan": op7_license_scan,
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_join": op9_ngram_join,
