@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op4_bpe_codec
 from .decontamination import op1_decontamination
 from .language_id import op2_language_id
+from .language_model import op10_lm_scores
 from .licenses import op7_license_scan
 from .ngram_join import op9_ngram_join
 from .quality import op8_quality_rules
 from .secret_scan import op3_secret_scan
 from .toxicity import op5_toxicity
+from .warc_audit import ORACLE as _WARC_ORACLE
+from .warc_audit import op6_warc_audit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
@@ -21,9 +24,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_bpe_codec": op4_bpe_codec,
     "op5_toxicity": op5_toxicity,
+    "op6_warc_audit": op6_warc_audit,
     "op7_license_scan": op7_license_scan,
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_join": op9_ngram_join,
+    "op10_lm_scores": op10_lm_scores,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_warc_audit": _WARC_ORACLE}
