@@ -244,12 +244,13 @@ def invalid_ratio(bad: Column, checked: Column) -> Column:
 
 def gate(report: list[dict], max_invalid_ratio: float) -> None:
     """Raise when the rounded ratio of any entity is above the limit."""
-    breaches = {r["entity"]: r for r in report if r["invalid_ratio"] > max_invalid_ratio}
-    if breaches:
-        raise ContractBreach(
-            f"invalid record ratio above {max_invalid_ratio:.1%}: "
-            f"{json.dumps(breaches, default=str, sort_keys=True)}"
+    over = [r for r in report if r["invalid_ratio"] > max_invalid_ratio]
+    if over:
+        told = "; ".join(
+            f"{r['entity']}: {r['invalid']} of {r['checked']} ({json.dumps(r['reasons'], default=str)})"
+            for r in over
         )
+        raise ContractBreach(f"share of invalid records over {max_invalid_ratio}: {told}")
 
 
 def report_rows(report: DataFrame) -> list[dict]:

@@ -195,9 +195,11 @@ def run_quality_checks(
     context: QualityContext, checks: Sequence[Check] = CHECKS
 ) -> list[dict]:
     """Run all checks, then raise if one of severity error found something."""
-    found = {r["name"]: r.asDict() for r in quality_results(context, checks).collect()}
-    results = [found[c.name] for c in checks]
-    failed = [r["name"] for r in results if not r["passed"] and r["severity"] == ERROR]
-    if failed:
-        raise QualityCheckFailed(f"quality checks failed: {', '.join(failed)}")
+    order = {check.name: place for place, check in enumerate(checks)}
+    rows = quality_results(context, checks).collect()
+    results = sorted((r.asDict() for r in rows), key=lambda r: order[r["name"]])
+    blocking = {r["name"]: r["violations"] for r in results if r["severity"] == ERROR}
+    broken = [f"{name} ({count})" for name, count in blocking.items() if count]
+    if broken:
+        raise QualityCheckFailed("the star breaks these checks: " + "; ".join(broken))
     return results

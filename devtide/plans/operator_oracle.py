@@ -626,9 +626,22 @@ OPERATORS: dict[str, str] = {
         FROM sp JOIN n ON n_name = repository_full_name WHERE r_name <> 'AFRICA'""",
         "sp", "n",
     ),
+    "stream_many_runs": sql(
+        f"""SELECT github_pr_id AS pull_request_key, state, merged_at IS NOT NULL AS is_merged,
+        {_date_key("merged_at")} AS merged_date_key, max_files
+        FROM sp JOIN n ON n_name = repository_full_name, (VALUES (0), (1), (3)) AS m(max_files)
+        WHERE r_name <> 'AFRICA'""",
+        "sp", "n",
+    ),
+    "stream_replay": sql(
+        """SELECT 'r0' AS run_id, 'succeeded' AS status, true AS loaded_once, count(*) AS pulls
+        FROM sp JOIN n ON n_name = repository_full_name WHERE r_name <> 'AFRICA'""",
+        "sp", "n",
+    ),
     "stream_drop_overlap": "SELECT event_id, user_id FROM events",
     "stream_weekly_counts": """SELECT date_trunc('week', ts)::DATE AS week_start_date,
-        count(*) AS rows FROM events GROUP BY 1""",
+        CAST(sum(CASE WHEN event_id % 2 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS rows
+        FROM events GROUP BY 1""",
 }
 
 OPERATORS |= {

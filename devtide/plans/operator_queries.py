@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -749,7 +749,8 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = F.col("r_name") == "ASIA"
     status = F.when(failed, runlog.FAILED).otherwise(runlog.SUCCEEDED)
     closing = entries(status, F.lit(SECOND_LOAD), missing, F.when(failed, "boom"))
-    return runlog.merge_runs(log, closing).drop("repositories", "loaded", "quality_checks")
+    rows = log.withColumn("logged_at", F.lit(1)).union(closing.withColumn("logged_at", F.lit(2)))
+    return runlog.reduce_runs(rows).drop("repositories", "loaded", "quality_checks")
 
 
 @query
@@ -862,64 +863,139 @@ def weekly_commits_by_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------------ streaming
-@query
-def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two landed runs loaded by the stream, the second one later than the first."""
-    root = scratch_dir(spark, "stream")
-    settings = steps.Settings(
+def _stream_settings(root: str) -> steps.Settings:
+    return steps.Settings(
         f"{root}/data",
         f"{root}/warehouse",
         f"{root}/reports",
         SECOND_LOAD,
         max_invalid_ratio=1.0,
         calendar=CALENDAR,
+        checks=(),
+    )
+
+
+def _land_run(
+    spark: SparkSession, settings: steps.Settings, run: str, raw: dict, minutes: int
+) -> None:
+    """Land one run, entity by entity as given, and mark it complete."""
+    at = SECOND_LOAD + timedelta(minutes=minutes)
+    for entity, rows in raw.items():
+        landing.write_landing(rows, settings.data_dir, run, entity, at)
+    landing.complete_run(spark, settings.data_dir, run, at)
+
+
+def _loaded_pulls(spark: SparkSession, settings: steps.Settings) -> DataFrame:
+    return Warehouse(spark, settings.warehouse_dir).read("fact_pull_request").select(
+        "pull_request_key", "state", "is_merged", "merged_date_key"
     )
+
+
+@query
+def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landed runs loaded by the stream, the second one later than the first."""
+    root = scratch_dir(spark, "stream")
+    settings = _stream_settings(root)
     raw = RawRecords(spark, sf_dir)
     state = F.try_variant_get("data", "$.state", "string")
-    for run, kept in {"r1": state == "open", "r2": state != "open"}.items():
-        for entity in ("repositories", "pull_requests"):
-            rows = raw[entity].filter(kept) if entity == "pull_requests" else raw[entity]
-            landing.write_landing(rows, settings.data_dir, run, entity, SECOND_LOAD)
+    for number, kept in enumerate((state == "open", state != "open")):
+        rows = {
+            "repositories": raw["repositories"],
+            "pull_requests": raw["pull_requests"].filter(kept),
+        }
+        _land_run(spark, settings, f"r{number}", rows, number)
         ingest.start_ingest(spark, settings, f"{root}/checkpoint").awaitTermination()
-    tables = Warehouse(spark, settings.warehouse_dir)
-    return tables.read("fact_pull_request").select(
-        "pull_request_key", "state", "is_merged", "merged_date_key"
-    )
+    return _loaded_pulls(spark, settings)
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layout = "event_id bigint, ts timestamp_ntz, user_id bigint"
-    reader = spark.readStream.schema(layout).option("pathGlobFilter", "events.parquet")
-    events = reader.parquet(sf_dir)
-    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+@query
+def stream_many_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs landed before the stream starts, repositories last, the run with the newest
+    snapshots in between: the same facts whatever the number of markers in a batch."""
+    raw = RawRecords(spark, sf_dir)
+    state = F.try_variant_get("data", "$.state", "string")
+    pulls = raw["pull_requests"]
+    halves = (pulls.filter(state == "open"), pulls, pulls.filter(state != "open"))
+    results = []
+    for limit in (None, 1, 3):
+        root = scratch_dir(spark, "stream")
+        settings = _stream_settings(root)
+        for number, rows in enumerate(halves):
+            landed = {"pull_requests": rows, "repositories": raw["repositories"]}
+            _land_run(spark, settings, f"r{number}", landed, number)
+        ingest.start_ingest(
+            spark, settings, f"{root}/checkpoint", max_files=limit
+        ).awaitTermination()
+        results.append(
+            _loaded_pulls(spark, settings).withColumn("max_files", F.lit(limit or 0))
+        )
+    return reduce(DataFrame.unionByName, results)
+
+
+@query
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch replayed after its runs were published: closed once more, loaded once."""
+    root = scratch_dir(spark, "stream")
+    settings = _stream_settings(root)
+    raw = RawRecords(spark, sf_dir)
+    rows = {e: raw[e] for e in ("repositories", "pull_requests")}
+    _land_run(spark, settings, "r0", rows, 0)
+    ingest.start_ingest(spark, settings, f"{root}/checkpoint").awaitTermination()
+    warehouse = Warehouse(spark, settings.warehouse_dir)
+    before = warehouse.snapshot()["version"]
+    markers = spark.createDataFrame([("r0", SECOND_LOAD)], "run_id string, extracted_at timestamp")
+    ingest.load_batch(markers, 0, settings, "landing")
+    same = warehouse.snapshot()["version"] == before
+    return (
+        warehouse.read("pipeline_runs")
+        .select("run_id", "status")
+        .withColumn("loaded_once", F.lit(same))
+        .withColumn("pulls", F.lit(warehouse.read("fact_pull_request").count()))
+    )
+
+
+def _event_batches(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """The events as a stream of three files, one a batch, the newest first: the rows of later
+    batches are up to years late."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
+    year = F.year("ts")
+    span = events.agg(F.min(year).alias("low"), F.max(year).alias("high")).first()
+    cut = (span["low"] + span["high"]) // 2
+    parts = (year > cut, year <= cut, F.pmod("event_id", F.lit(2)) == 0)
+    for part in parts:
+        # The third file holds copies of rows of both.
+        events.filter(part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(f"{root}/in")
 
 
-def _run_stream(stream: DataFrame, root: str, mode: str) -> None:
+@query
+def stream_drop_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in three batches, half of them twice and all out of order, kept once."""
+    root = scratch_dir(spark, "overlap")
+
     def save(batch: DataFrame, number: int) -> None:
-        folder = "all" if mode == "complete" else f"batch={number}"
-        batch.write.mode("overwrite").parquet(f"{root}/out/{folder}")
+        batch.write.mode("overwrite").parquet(f"{root}/out/batch={number}")
 
     (
-        stream.writeStream.foreachBatch(save)
-        .outputMode(mode)
+        ingest.drop_overlap(_event_batches(spark, sf_dir, root), ["event_id"])
+        .writeStream.foreachBatch(save)
+        .outputMode("append")
         .option("checkpointLocation", f"{root}/checkpoint")
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
     )
-
-
-@query
-def stream_drop_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event delivered twice, kept once."""
-    root = scratch_dir(spark, "overlap")
-    twice = _event_stream(spark, sf_dir).unionByName(_event_stream(spark, sf_dir))
-    _run_stream(ingest.drop_overlap(twice, ["event_id"], "ts"), root, "append")
     return spark.read.parquet(f"{root}/out").select("event_id", "user_id")
 
 
 @query
 def stream_weekly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weeks of events that come in three batches, in append mode and out of order."""
     root = scratch_dir(spark, "weekly")
-    _run_stream(ingest.weekly_counts(_event_stream(spark, sf_dir), "ts"), root, "complete")
-    return spark.read.parquet(f"{root}/out/all")
+    stream = _event_batches(spark, sf_dir, root)
+    ingest.append_weekly_counts(
+        stream, "ts", f"{root}/out", f"{root}/checkpoint"
+    ).awaitTermination()
+    return ingest.weekly_totals(spark, f"{root}/out")

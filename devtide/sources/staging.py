@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.contracts import check
 from ..operators.flatten import flat_rows
 from ..schemas import STAGED, conform, ddl
+from .files import Files
 
 
 def classified_rows(raw: DataFrame, entity: str) -> DataFrame:
@@ -60,6 +61,11 @@ def quarantine_rows(classified: DataFrame) -> DataFrame:
     )
 
 
+def clear_quarantine(spark: SparkSession, root: str, run_id: str) -> None:
+    """Nothing of an earlier attempt at a run stays in quarantine."""
+    Files(spark, root).delete(f"{root}/quarantine/run_id={run_id}")
+
+
 def write_quarantine(rows: DataFrame, root: str, run_id: str, entity: str) -> None:
     path = f"{root}/quarantine/run_id={run_id}/entity={entity}"
     rows.hint("rebalance").write.mode("overwrite").json(path)
@@ -67,7 +73,10 @@ def write_quarantine(rows: DataFrame, root: str, run_id: str, entity: str) -> No
 
 def read_quarantine(spark: SparkSession, root: str, run_id: str, entity: str) -> DataFrame:
     schema = "repository string, problems array<string>, data variant, line string"
-    return spark.read.schema(schema).json(f"{root}/quarantine/run_id={run_id}/entity={entity}")
+    path = f"{root}/quarantine/run_id={run_id}/entity={entity}"
+    if not Files(spark, root).exists(path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(path)
 
 
 def staged_path(root: str, run_id: str, table: str) -> str:

@@ -50,8 +50,8 @@ def test_mark_stays_without_news(spark):
 
 
 def test_pull_requests_in_window_and_their_reviews(spark):
-    old = s.pull(3, 203, "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z", s.ALICE)
-    late = (s.review(1, s.BOB, "APPROVED", "2024-06-01T00:00:00Z"), {"pull_number": 3})
+    old = s.pull(3, "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z", "mira")
+    late = s.verdict(1, "joren", "APPROVED", "2024-06-01T00:00:00Z", 3)
     listing = s.listings(spark, pulls=[*s.PULLS, old], reviews=[*s.REVIEWS, late])
     increment, results, _ = run(spark, listing, marks(spark))
     assert increment["pull_requests"].count() == 2
@@ -75,7 +75,7 @@ def test_truncated_listing_keeps_the_mark(spark):
 
 def test_pull_requests_are_not_issues(spark):
     disguised = {**s.ISSUES[1], "updated_at": "2024-06-09T00:00:00Z", "pull_request": None}
-    plain = s.issue(12, 812, "2024-06-01T00:00:00Z", "2024-06-02T00:00:00Z", s.ALICE)
+    plain = s.ticket(12, "2024-06-01T00:00:00Z", "2024-06-02T00:00:00Z", "mira")
     increment, results, _ = run(spark, s.listings(spark, issues=[disguised, plain]), marks(spark))
     assert increment["issues"].count() == 1
     assert results["issues"].new_watermark == datetime(2024, 6, 2)
@@ -92,10 +92,10 @@ def test_empty_repository_keeps_its_row(spark):
 
 def test_forks_are_left_out_unless_wanted(spark):
     listing = s.listing(
-        spark, [s.repo(), s.repo("acme/fork", 2, fork=True), s.without(s.repo("acme/old", 3), "fork")]
+        spark, [s.repo(), s.repo("harbor/fork", 2, fork=True), s.without(s.repo("harbor/old", 3), "fork")]
     )
     names = lambda df: sorted(r.repository for r in df.collect())
-    assert names(x.discover(listing)) == ["acme/old", s.REPO]
+    assert names(x.discover(listing)) == ["harbor/old", s.REPO]
     assert len(names(x.discover(listing, include_forks=True))) == 3
 
 

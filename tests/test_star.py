@@ -58,9 +58,9 @@ def test_merge_is_idempotent(spark):
 def test_snapshots_merge_in_any_order(spark):
     older, newer = staged(spark), staged(
         spark,
-        pulls=[s.pull(2, 202, "2024-06-03T09:00:00Z", "2024-06-06T09:00:00Z", s.BOB,
+        pulls=[s.pull(2, "2024-06-03T09:00:00Z", "2024-06-06T09:00:00Z", "joren",
                       merged="2024-06-06T09:00:00Z", title="new")],
-        issues=[s.issue(10, 810, "2024-06-01T00:00:00Z", "2024-06-05T00:00:00Z", s.ALICE)],
+        issues=[s.ticket(10, "2024-06-01T00:00:00Z", "2024-06-05T00:00:00Z", "mira")],
     )
     forward = build(spark, newer, SECOND, build(spark, older))
     backward = build(spark, older, SECOND, build(spark, newer))
@@ -74,7 +74,7 @@ def test_snapshots_merge_in_any_order(spark):
 def test_columns_that_never_change(spark):
     base = build(spark, staged(spark))
     changed = [
-        s.pull(2, 202, "2024-06-04T09:00:00Z", "2024-06-07T09:00:00Z", s.ALICE, base={"ref": "x"})
+        s.pull(2, "2024-06-04T09:00:00Z", "2024-06-07T09:00:00Z", "mira", base={"ref": "x"})
     ]
     pr = build(spark, staged(spark, pulls=changed), SECOND, base)["fact_pull_request"]
     old = base["fact_pull_request"].filter("pr_number = 2").first()
@@ -88,7 +88,7 @@ def test_repository_guard_looks_at_tracked_columns_only(spark):
     base = build(spark, staged(spark))["dim_repository"]
     untracked = staged(spark, repos=[s.repo(default_branch="x", private=True)])["repositories"]
     same = star.merge_repositories(base, untracked, SECOND).first()
-    assert (same.default_branch, same.is_private, same.last_updated_at) == ("main", False, FIRST)
+    assert (same.default_branch, same.is_private, same.last_updated_at) == ("trunk", False, FIRST)
     tracked = staged(
         spark, repos=[s.repo(default_branch="x", stargazers_count=43, created_at="2021-01-01")]
     )["repositories"]
@@ -116,10 +116,10 @@ def test_contributor_keeps_its_id(spark):
 
 
 def test_unknown_repository_and_pull_request(spark):
-    tables = staged(spark, repos=[s.repo("acme/renamed")])
+    tables = staged(spark, repos=[s.repo("harbor/renamed")])
     out = build(spark, tables)
     assert out["fact_commit"].count() == 0 and out["fact_review"].count() == 0
-    stray = (s.review(9003, s.BOB, "APPROVED", "2024-06-02T20:00:00Z"), {"pull_number": 99})
+    stray = s.verdict(9003, "joren", "APPROVED", "2024-06-02T20:00:00Z", 99)
     out = build(spark, staged(spark, reviews=[*s.REVIEWS, stray]))
     assert out["fact_review"].count() == 2
 
@@ -127,8 +127,8 @@ def test_unknown_repository_and_pull_request(spark):
 def test_review_of_an_earlier_pull_request_and_dismissal(spark):
     base = build(spark, staged(spark))
     later = [
-        (s.review(9002, s.BOB, "DISMISSED", "2024-06-09T20:00:00Z"), {"pull_number": 1}),
-        (s.review(9004, s.ALICE, "APPROVED", "2024-06-09T20:00:00Z"), {"pull_number": 2}),
+        s.verdict(9002, "joren", "DISMISSED", "2024-06-09T20:00:00Z", 1),
+        s.verdict(9004, "mira", "APPROVED", "2024-06-09T20:00:00Z", 2),
     ]
     out = build(spark, staged(spark, pulls=[s.PULLS[1]], reviews=later), SECOND, base)["fact_review"]
     rows = {r.review_key: r for r in out.collect()}
