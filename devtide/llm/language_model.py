@@ -43,7 +43,7 @@ STEPS = 32
 #: Hash of the end token (a fixed value).
 END = int(shared.mix(np.array([0xE0D], np.uint64))[0])
 #: Distinct n-grams that a task gathers before it gives them on.
-_GATHERED = 1_500_000
+_GATHERED = 800_000
 _TRIPLE = 1 << 60
 
 
@@ -392,8 +392,8 @@ def score(docs: DataFrame, folder: str, words: Words, counts: DataFrame) -> Data
             tokens, row = (np.concatenate(p) for p in zip(*parts, strict=True))
             n, number = len(texts), known.value.of(tokens)
             near = number >= 0
-            base = np.bincount(row[near], logs[number[near]], minlength=n)
-            model = np.bincount(row, trie.scores(number, row), minlength=n)
+            base = np.bincount(row[near], logs[number[near]], minlength=n).astype(float)
+            model = np.bincount(row, trie.scores(number, row), minlength=n).astype(float)
             doc, mark = batch.column(0), batch.column(1)
             size, found = np.bincount(row, minlength=n), np.bincount(row[near], minlength=n)
             none = pa.nulls(n, pa.int64())

@@ -87,6 +87,10 @@ def test_probabilities_equal_the_formula_and_sum_to_one(spark):
         name[word] = int(words.of(np.array([hashed], np.uint64))[0])
     floor, cut = sum(singles.values()) + len(singles) + 1, language_model.DISCOUNT
     inside = {w for w in singles if name[w] < language_model.LEVELS[1]}
+    follow = {}
+    for gram, c in [*pairs.items(), *triples.items()]:
+        if name[gram[-1]] < language_model.LEVELS[len(gram) - 2]:
+            follow[gram[:-1]] = follow.get(gram[:-1], 0) + c - cut
 
     def plain(*gram):
         if len(gram) == 1:
@@ -99,8 +103,7 @@ def test_probabilities_equal_the_formula_and_sum_to_one(spark):
         known = language_model.LEVELS[len(gram) - 2]
         if any(name[w] >= known for w in context):
             return plain(*gram[1:])
-        after = [(g, c) for g, c in seen.items() if g[:-1] == context and name[g[-1]] < known]
-        rest = 1 - sum(c - cut for _, c in after) / total
+        rest = 1 - follow.get(context, 0) / total
         own = max(seen[gram] - cut, 0) / total if name[gram[-1]] < known else 0
         return own + rest * plain(*gram[1:])
 
