@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Hashable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -28,8 +27,8 @@ RUNTIME_CONF = {
 }
 
 
-# Scratch folder per local application, where none is configured.
-_LOCAL_SCRATCH: dict[str, str] = {}
+# Shared folder by application, where the caller names it after the start.
+_SCRATCH: dict[str, str] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -57,20 +56,23 @@ def local_session(cpus: int | str = "*", app: str = "devtide", **conf: str) -> S
     return spark
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
+def use_scratch(spark: SparkSession, folder: str) -> None:
+    """Name the shared folder for a session that was started without one."""
+    _SCRATCH[spark.sparkContext.applicationId] = folder.rstrip("/")
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder that all executors share, if one is named."""
+    return spark.conf.get("spark.checkpoint.dir", None) or _SCRATCH.get(
+        spark.sparkContext.applicationId
+    )
+
 
-    Only a local session may fall back to a temporary folder: on a cluster a
-    machine-local path would not be visible to the other executors.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder below the shared folder; there is no other place to fall back on."""
+    base = shared_folder(spark)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-        application = spark.sparkContext.applicationId
-        if application not in _LOCAL_SCRATCH:
-            _LOCAL_SCRATCH[application] = tempfile.mkdtemp(prefix="devtide-")
-        base = _LOCAL_SCRATCH[application]
+        raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from devtide.plans import registry
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents".split()
@@ -25,14 +26,16 @@ def database():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_equals_sql(spark, database, name):
     df = driver.queries()[name](spark, SF_DIR)
     cursor = database.execute(driver.oracle_sql()[name])
