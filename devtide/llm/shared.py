@@ -16,12 +16,12 @@ from pyspark import RDD
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder, use_scratch
+
 #: Rows of an Arrow batch: a batch of long texts stays small next to a task's memory.
 BATCH_ROWS = 2000
 #: Bytes of text that the vectorised helpers take at once (a longer text is taken alone).
 CHUNK_BYTES = 2 << 20
-#: Folder for local sessions that name none.
-_OWN: dict[str, str] = {}
 #: Applications that have the package.
 _SHIPPED: set[str] = set()
 
@@ -55,13 +55,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share; one of our own only where a local session names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = shared_folder(spark)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-        app = spark.sparkContext.applicationId
-        base = _OWN.setdefault(app, "") or tempfile.mkdtemp(prefix="llm-")
-        _OWN[app] = base
+        base = tempfile.mkdtemp(prefix="llm-")
+        atexit.register(shutil.rmtree, base, True)
+        use_scratch(spark, base)
     return base.rstrip("/")
 
 
