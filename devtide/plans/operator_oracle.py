@@ -375,11 +375,7 @@ OPERATORS: dict[str, str] = {
     "windowed_commits": sql("SELECT repository, seq AS ingest_seq FROM wc", "wc"),
     "windowed_pull_requests": sql("SELECT repository, seq AS ingest_seq FROM wp", "wp"),
     "windowed_issues": sql("SELECT repository, o_orderkey AS ingest_seq FROM wi", "wi"),
-    "windowed_reviews": sql(
-        """SELECT repository, count(*) AS reviews, CAST(sum(seq) AS DOUBLE) AS positions
-        FROM wv GROUP BY 1""",
-        "wv",
-    ),
+    "windowed_reviews": sql("SELECT repository, seq AS ingest_seq FROM wv", "wv"),
     "issues_without_pull_requests": sql(
         "SELECT repository, o_orderkey AS ingest_seq FROM ri WHERE NOT is_pull", "ri"
     ),
