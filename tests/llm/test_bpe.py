@@ -26,6 +26,17 @@ def test_equals_the_library(value):
     assert CODEC.decode(ids) == LIBRARY.decode(ids, skip_special_tokens=False)
 
 
+def test_every_letter_is_cut_as_the_library_does():
+    from tokenizers import pre_tokenizers
+
+    library = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    for first in range(0, 0x110000, 64):
+        signs = [chr(c) for c in range(first, first + 64) if not 0xD800 <= c < 0xE000]
+        value = "".join(f"a{c}1{c}!{c}'ll{c}" for c in signs)
+        sizes = [b - a for _, (a, b) in library.pre_tokenize_str(value)]
+        assert [len(p) for p in bpe.cut(value)] == sizes
+
+
 @pytest.mark.parametrize("value", ["ab" * 60_000, "a" * 50_000, " " * 5000 + "x", "x " * 5000])
 def test_very_long_pieces(value):
     assert CODEC.encode(value) == LIBRARY.encode(value, add_special_tokens=False).ids
