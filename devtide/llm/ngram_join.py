@@ -15,9 +15,10 @@ pairs, larger ones pairs with a hub (a smallest member). An exact bound drops mo
 not link: parity bitmaps never differ in more bits than the sets do in shingles. First each
 node is verified against the partner with which it shares most signatures. Larger runs whose
 members are then all connected need nothing more, so a large group of near copies costs one
-check a member. In the others every pair across components is tested, by the same bound inside
-the run and by the sets themselves for the pairs that pass. No link is lost; pairs within a
-component are never formed there.
+check a member. In the others each member is verified against the nearest one of another
+component, a few times over, and then every pair that is still across components is tested, by the same bound
+inside the run and by the sets themselves for the pairs that pass. No link is lost; pairs within
+a component are never formed there.
 
 Defined results: a text that is null or has no word has an empty set (0 shingles) and its own
 id as component; fewer than five words are one shingle; repeated rows are copies of each
@@ -51,12 +52,17 @@ FILTER_BITS = 1 << 23
 SHARE = 512
 #: Runs up to this size give all their pairs at once.
 SMALL = 16
-#: Members of a run that are compared at once.
-BLOCK = 1024
+#: Rounds in which members of larger runs meet only the nearest one of another component. They
+#: save pairs; the last round takes all that are left, however many those are.
+NEAREST_ROUNDS = 2
+#: Members of a run that one member is compared with at once.
+BLOCK = 4096
 
 _M = shared.MULTIPLIERS
 _BITS = SKETCH.bit_length() - 1
 _OUT_ROWS = 200_000
+#: Pairs that a task remembers so as not to give them again.
+_SEEN = 1_000_000
 
 
 # -- sets -----------------------------------------------------------------------------------
@@ -91,9 +97,9 @@ def node_of(tokens: np.ndarray) -> int:
 
 
 def _parity(tokens: np.ndarray) -> bytes:
-    """One bit per cell: whether an odd number of shingles falls into it. As many cells as
-    shingles, rounded up to a power of two, 64 at least."""
-    size = max(64, 1 << int(len(tokens) - 1).bit_length())
+    """One bit per cell: whether an odd number of shingles falls into it. Four cells for each
+    shingle, rounded up to a power of two, 64 at least."""
+    size = max(64, 1 << int(4 * len(tokens) - 1).bit_length())
     cells = (tokens >> np.uint64(32)).astype(np.int64) & (size - 1)
     odd = (np.bincount(cells, minlength=size) & 1).astype(np.uint8)
     return np.packbits(odd).tobytes()
@@ -159,9 +165,16 @@ def _counted(tokens: np.ndarray) -> np.ndarray:
     )
 
 
+def _fewer(parts: DataFrame):
+    """The rows in a sixteenth of the partitions (8 at least): arrays of fixed size are added up
+    within a task before they move."""
+    rows = parts.rdd
+    return rows.coalesce(max(8, rows.getNumPartitions() // 16))
+
+
 def frequent_cells(sketches: DataFrame) -> np.ndarray:
     """Two rows of flags, from the sum of all sketches (a tree of sums of fixed size)."""
-    total = sketches.rdd.map(
+    total = _fewer(sketches).map(
         lambda r: np.frombuffer(zlib.decompress(r[0]), np.int64)
     ).treeAggregate(np.zeros(2 * SKETCH, np.int64), np.add, np.add)
     mean = total[:SKETCH].sum() / SKETCH
@@ -360,8 +373,8 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_pydict({"part": [zlib.compress(np.packbits(bits).tobytes(), 1)]})
 
     spark = docs.sparkSession
-    parts = shared.arrow_map(nodes, fill, "part binary")
-    total = parts.rdd.map(
+    parts = shared.stored(shared.arrow_map(nodes, fill, "part binary"), "filter")
+    total = _fewer(parts).map(
         lambda r: np.frombuffer(zlib.decompress(r[0]), np.uint8)
     ).treeAggregate(np.zeros(FILTER_BITS // 8, np.uint8), np.bitwise_or, np.bitwise_or)
     wanted = spark.sparkContext.broadcast(total)
@@ -435,28 +448,76 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return shared.arrow_map(ordered, _linked, "a long, b long")
 
 
-def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a run from two components that pass the bound on sizes and bitmaps."""
+def _crossing(
+    batches: Iterator[pa.RecordBatch], nearest: bool, members: bool
+) -> Iterator[pa.RecordBatch]:
+    """Pairs of a run from two components that pass the bound on sizes and bitmaps; if
+    ``nearest``, for each member only the one with the fewest bits in difference (of those that
+    are compared at once). A run with such a pair gives a row with its ``sig`` too, and,
+    if ``members``, each member of any such pair a row of its own (``b`` is null)."""
+    seen: set[int] = set()
+    told: set[int] = set()
     for rows in _whole_runs(batches, ["sig", "n", "node", "component", "bits"]):
         edges = np.flatnonzero(np.diff(rows["sig"])) + 1
         bounds = [0, *edges.tolist(), len(rows["sig"])]
         for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
-            node, n = rows["node"][begin:end], rows["n"][begin:end].astype(np.int64)
-            group = rows["component"][begin:end]
+            node, group = rows["node"][begin:end], rows["component"][begin:end]
             if (group == group[0]).all():
                 continue
-            bits = [np.frombuffer(x.as_py(), np.uint8) for x in rows["bits"][begin:end]]
-            last = np.searchsorted(n * PERCENT, 100 * n, "right")
-            for i in range(end - begin - 1):
-                for low in range(i + 1, int(last[i]), BLOCK):
-                    high = min(low + BLOCK, int(last[i]))
-                    at = np.flatnonzero(group[low:high] != group[i]) + low
-                    near = [j for j in at if _bound(bits[i], bits[j], int(n[i] + n[j]))]
-                    if near:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(near), node[i])), pa.array(node[near])],
-                            ["a", "b"],
-                        )
+            bits = rows["bits"][begin:end].to_pylist()
+            found: list[np.ndarray] = []
+            touched = np.zeros(end - begin, bool)
+            for i, others, differ in _apart_but_near(
+                rows["n"][begin:end].astype(np.int64), group, bits
+            ):
+                touched[i] = touched[others] = True
+                if nearest:
+                    others = others[[int(np.argmin(differ))]]
+                found.append(np.stack([np.full(len(others), node[i]), node[others]]))
+            if found:
+                pairs = np.concatenate(found, axis=1)
+                marks = shared.mix(pairs[0].view(np.uint64) * _M[40] + pairs[1].view(np.uint64))
+                new = np.array([m not in seen for m in marks.tolist()])
+                seen.update(marks[new].tolist() if len(seen) < _SEEN else [])
+                once = [x for x in node[touched].tolist() if x not in told] if members else []
+                told.update(once)
+                pairs, more = pairs[:, new].tolist(), [None] * len(once)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([*pairs[0], *once, None], pa.int64()),
+                        pa.array([*pairs[1], *more, None], pa.int64()),
+                        pa.array([*[None] * len(pairs[0]), *more, int(rows["sig"][begin])], pa.int64()),
+                    ],
+                    ["a", "b", "sig"],
+                )
+
+
+def _apart_but_near(
+    n: np.ndarray, group: np.ndarray, bits: list[bytes]
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Each member of a run (sorted by size) with those after it that are of another group and
+    not ruled out, and the bits in which they differ. Sizes that fit have bitmaps of equal width, or the larger one's is twice as
+    wide and is folded."""
+    width = np.array([len(b) for b in bits])
+    last = np.searchsorted(n * PERCENT, 100 * n, "right")
+    starts = np.flatnonzero(np.diff(width, prepend=0))
+    for k, start in enumerate(starts.tolist()):
+        end = int(starts[k + 1]) if k + 1 < len(starts) else len(n)
+        own = np.frombuffer(b"".join(bits[start:end]), np.uint64).reshape(end - start, -1)
+        parts = [own]
+        if k + 1 < len(starts) and width[end] == 2 * width[start]:
+            stop = int(starts[k + 2]) if k + 2 < len(starts) else len(n)
+            wide = np.frombuffer(b"".join(bits[end:stop]), np.uint64).reshape(stop - end, 2, -1)
+            parts.append(wide[:, 0] ^ wide[:, 1])
+        table = np.concatenate(parts)
+        for i in range(start, end):
+            for low in range(i + 1, min(int(last[i]), start + len(table)), BLOCK):
+                high = min(low + BLOCK, int(last[i]), start + len(table))
+                other = np.flatnonzero(group[low:high] != group[i]) + low
+                differ = np.bitwise_count(table[other - start] ^ own[i - start]).sum(axis=1)
+                fits = differ.astype(np.int64) * (100 + PERCENT) <= (n[other] + n[i]) * (100 - PERCENT)
+                if fits.any():
+                    yield i, other[fits], differ[fits]
 
 
 def _bound(x: np.ndarray, y: np.ndarray, total: int) -> bool:
@@ -480,8 +541,41 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1, 2]).filter(pa.array(keep, pa.bool_()))
 
 
-def _links(docs: DataFrame, found: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Links between nodes that connect all that are similar."""
+def _merged(owner: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``node`` and ``component`` after more links between components."""
+    if owner is None:
+        return shared.stored(components(links), "owners")
+    up = components(_lifted(links, owner, "a", "b"))
+    moved = up.select(F.col("node").alias("component"), F.col("component").alias("higher"))
+    whole = owner.select("node", "component").union(
+        # Nodes that had no link before are components of their own.
+        up.select("node", F.col("node").alias("component"))
+        .join(owner.select("node"), "node", "left_anti")
+    )
+    whole = whole.join(moved, "component", "left")
+    return shared.stored(
+        whole.select("node", F.coalesce("higher", "component").alias("component")), "owners"
+    )
+
+
+def _lifted(pairs: DataFrame, owner: DataFrame, a: str, b: str) -> DataFrame:
+    """Pairs of components for pairs of nodes, as ``a`` and ``b``."""
+    of_a = owner.select(F.col("node").alias(a), F.col("component").alias("of_a"))
+    of_b = owner.select(F.col("node").alias(b), F.col("component").alias("of_b"))
+    joined = pairs.join(of_a, a, "left").join(of_b, b, "left")
+    return joined.select(F.coalesce("of_a", a).alias("a"), F.coalesce("of_b", b).alias("b")).distinct()
+
+
+def _apart(pairs: DataFrame, owner: DataFrame) -> DataFrame:
+    """The pairs (hub, node) whose ends are in two components."""
+    of_hub = owner.select(F.col("node").alias("hub"), F.col("component").alias("of_hub"))
+    joined = pairs.join(owner, "node", "left").join(of_hub, "hub", "left")
+    differ = F.coalesce("component", "node") != F.coalesce("of_hub", "hub")
+    return joined.filter(differ).select("hub", "node")
+
+
+def owners(docs: DataFrame, found: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """``node`` and ``component`` of all nodes that link to another one."""
     runs = shared.stored(runs_of(index_rows(docs, frequent)), "runs")
     bits = (
         found.filter("n > 1 and bits is not null")
@@ -500,31 +594,65 @@ def _links(docs: DataFrame, found: DataFrame, frequent: np.ndarray) -> DataFrame
         shared.arrow_map(pairs, _near, "hub long, node long, common long"), "near"
     )
     large = runs.filter("sig is not null")
+    steps = shared.stored(large.select("hub", "node").distinct(), "steps")
+
+    def sets_for(nodes: DataFrame) -> DataFrame:
+        found = candidate_sets(docs, nodes).groupBy("node").agg(F.first("tokens").alias("tokens"))
+        return shared.stored(found, "sets")
+
+    sets = sets_for(near.select("node").union(near.select("hub")).distinct())
     best = near.groupBy("node").agg(F.max(F.struct("common", "hub")).alias("best"))
-    best = shared.stored(best.select(F.col("best.hub").alias("a"), F.col("node").alias("b")), "best")
-    members = near.select("node").union(near.select("hub")).union(large.select("node")).distinct()
-    sets = shared.stored(
-        candidate_sets(docs, members).groupBy("node").agg(F.first("tokens").alias("tokens")), "sets"
+    tried = shared.stored(
+        best.select(F.col("best.hub").alias("a"), F.col("node").alias("b")), "tried"
+    )
+    owner = _merged(None, shared.stored(verified(tried, sets), "links"))
+    # What is left of the small runs, and the larger runs with more than one component: there,
+    # some member stands apart from its hub, or a hub from the one before.
+    live = _open_runs(large, _apart(steps, owner))
+    for number, nearest in enumerate((*[True] * NEAREST_ROUNDS, False)):
+        crossed = shared.stored(_between(large, live, owner, bits, nearest, not number), "crossed")
+        # Runs in which the bound leaves nothing are done with.
+        live = crossed.filter("sig is not null").select("sig").distinct()
+        if not number:
+            # All later pairs are among the members that have any pair now.
+            members = crossed.filter("sig is null and b is null").select(F.col("a").alias("node"))
+            members = members.distinct().join(sets.select("node"), "node", "left_anti")
+            sets = sets.union(sets_for(shared.stored(members, "members")))
+        rest = _apart(near, owner).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+        rest = rest.union(crossed.filter("b is not null").select("a", "b")).distinct()
+        rest = shared.stored(rest.join(tried, ["a", "b"], "left_anti"), "rest")
+        if not rest.isEmpty():
+            owner = _merged(owner, shared.stored(verified(rest, sets), "links"))
+            tried = tried.union(rest)
+    return owner
+
+
+def _open_runs(large: DataFrame, apart: DataFrame) -> DataFrame:
+    """``sig`` of the larger runs with a pair of ``apart``. Of runs with the same members (the
+    windows of one passage), which give the same pairs, one stays."""
+    open_runs = large.join(apart, ["hub", "node"], "left_semi").select("sig").distinct()
+    members = F.sum(F.xxhash64("node").cast("decimal(38,0)"))
+    return (
+        large.join(open_runs, "sig", "left_semi")
+        .groupBy("sig")
+        .agg(members.alias("members"), F.count(F.lit(1)).alias("size"))
+        .groupBy("members", "size")
+        .agg(F.min("sig").alias("sig"))
+        .select("sig")
     )
-    links = shared.stored(verified(best, sets), "links")
-    owner = shared.stored(components(links), "owners")
-    of_hub = owner.select(F.col("node").alias("hub"), F.col("component").alias("of_hub"))
 
-    def apart(some: DataFrame) -> DataFrame:
-        return (
-            some.join(owner, "node", "left")
-            .join(of_hub, "hub", "left")
-            .filter(F.coalesce("component", "node") != F.coalesce("of_hub", "hub"))
-            .select("hub", "node")
-        )
 
-    # What is left of the small runs, and the larger runs with more than one component:
-    # there, some member stands apart from its hub, or a hub from the one before.
-    rest = apart(near).select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    wide = apart(large.select("hub", "node").distinct())
-    open_runs = large.join(wide, ["hub", "node"], "left_semi").select("sig").distinct()
+def _between(
+    large: DataFrame,
+    live: DataFrame,
+    owner: DataFrame,
+    bits: DataFrame,
+    nearest: bool,
+    members: bool,
+) -> DataFrame:
+    """Pairs across components within the larger runs ``live``, and the runs that have some."""
     rows = (
-        large.join(open_runs, "sig", "left_semi")
+        large.join(live, "sig", "left_semi")
         .select("sig", "node", "n")
         .join(bits, "node")
         .join(owner, "node", "left")
@@ -533,11 +661,11 @@ def _links(docs: DataFrame, found: DataFrame, frequent: np.ndarray) -> DataFrame
         .repartition("sig")
         .sortWithinPartitions("sig", "n", "node")
     )
-    crossing = shared.arrow_map(rows, _crossing, "a long, b long")
-    rest = shared.stored(
-        rest.union(crossing).distinct().join(best, ["a", "b"], "left_anti"), "rest"
-    )
-    return links.union(verified(rest, sets))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _crossing(batches, nearest, members)
+
+    return shared.arrow_map(rows, work, "a long, b long, sig long")
 
 
 def join_classes(docs: DataFrame) -> DataFrame:
@@ -553,7 +681,7 @@ def join_classes(docs: DataFrame) -> DataFrame:
     )
     frequent = frequent_cells(found.filter("n is null").select("bits"))
     rows = found.filter("n is not null").select("doc_id", "node", "n")
-    owner = components(_links(docs, found, frequent))
+    owner = owners(docs, found, frequent)
     nodes = (
         rows.filter("node is not null")
         .groupBy("node")
