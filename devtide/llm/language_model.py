@@ -1,18 +1,20 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
-Tokens are words (A-Z lower-cased) and an end. Words are numbered by falling count. The trie's
-second level holds all pairs of the first ``LEVELS[0]`` words, the third all triples of the first
-``LEVELS[1]``, both counted over all training documents: the levels' sizes are bounded by the
-squares and cubes of these numbers, whatever the corpus. A level lists for each context, in
-order, the words that follow; the starts of these lists are an Elias-Fano sequence, and so are
-the words, each as the context's number times the vocabulary plus its own, so that a lookup is a
-search for a successor within the context's range. Probabilities are smoothed by absolute
-discounting and interpolation down to the add-one unigrams, and kept as 8-bit logarithms, with
-the weight of the shorter context for each context. Levels are files of flat arrays in the shared
-folder, cut by the first word, and tasks map them into memory.
-
-The ``DIRECT`` most frequent words' counts go to every task; counts of the others, however many
-words there are, meet the documents in a join.
+Tokens are words (A-Z lower-cased) and an end. Every word of the training documents has a number:
+the ``DIRECT`` most frequent ones by falling count, the others in the order of their hashes. The
+trie's second level holds all pairs of words, the third all triples, counted over all training
+documents, so the levels grow with them. A level lists for each context, in order, the words that
+follow; the starts of these lists are an Elias-Fano sequence, and so are the words, each as the
+context's number times the vocabulary plus its own, so that a lookup is a search for a successor
+within the context's range. Probabilities are smoothed by absolute discounting and interpolation
+down to the add-one unigrams, and kept as 8-bit logarithms, with the weight of the shorter context
+for each context. Levels are files of flat arrays in the shared folder, and tasks map them into
+memory: the second is cut by the first word, into more files for more tokens; the third is cut by
+the place of its context among all pairs, so that the pairs of a frequent word are dealt to many
+files. N-grams move to their files counted, sorted and packed.
+
+The most frequent words' counts go to every task; numbers and counts of the others, however many
+words there are, are files too.
 
 Defined results: null is the empty text, which is one end; without training documents N and V
 are 0 and every token has probability 1 (log 0); equal rows get equal results; very long texts
@@ -32,19 +34,24 @@ from pyspark.sql import functions as F
 from . import shared
 from .elias_fano import Sequence, mapped, write
 
-#: Words whose counts every task holds (at most), and words of the trie's levels.
+#: Words whose counts every task holds (at most).
 DIRECT = 1 << 18
-LEVELS = (1 << 14, 1 << 10)
+#: Numbers of words lie below these in the levels: what the codes of n-grams have room for. More
+#: words are an error, none is left out.
+LEVELS = (1 << 31, 1 << 31)
 DISCOUNT = 0.75
-#: Files of each level.
+#: Files of the second level, and the tokens for a file from which they are doubled.
 SHARDS = 64
+_TOKENS = 1 << 22
+#: Contexts in a file of the third level; words in a file of the less frequent ones.
+_CONTEXTS = 1 << 17
+_WORDS = 1 << 20
 #: Steps of the 8-bit logarithms in a power of ten.
 STEPS = 32
 #: Hash of the end token (a fixed value).
 END = int(shared.mix(np.array([0xE0D], np.uint64))[0])
 #: Distinct n-grams that a task gathers before it gives them on.
 _GATHERED = 800_000
-_TRIPLE = 1 << 60
 
 
 def tokens_of(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -70,8 +77,8 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return key[start], np.add.reduceat(count, start) if len(key) else count
 
 
-def _gathered(parts: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Counts of equal numbers, added up as far as memory allows."""
+def _gathered(parts: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted numbers and their counts, added up as far as memory allows."""
     keys, counts, held = [], [], 0
     for part in parts:
         found, times = np.unique(part, return_counts=True)
@@ -82,24 +89,53 @@ def _gathered(parts: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
             key, count = _summed(keys, counts)
             keys, counts, held = [key], [count], len(key)
             if held > _GATHERED // 2:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(count)], ["key", "c"]
-                )
+                yield key, count
                 keys, counts, held = [], [], 0
     if keys:
-        key, count = _summed(keys, counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key.view(np.int64)), pa.array(count)], ["key", "c"]
-        )
+        yield _summed(keys, counts)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, so that equal high bytes lie together."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _packed(key: np.ndarray, count: np.ndarray) -> bytes:
+    """Rising numbers as differences, and their counts."""
+    data = _planes(np.diff(key, prepend=key.dtype.type(0))) + _planes(count)
+    return len(key).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 16 * n, "zstd", asbytes=True), np.uint8)
+    delta, count = (np.ascontiguousarray(p.reshape(8, n).T).view("<u8").ravel() for p in (planes[: 8 * n], planes[8 * n :]))
+    return np.cumsum(delta, dtype=np.uint64), count.astype(np.int64)
+
+
+def _united(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all parts in order, with their counts added up."""
+    keys, counts, held, least = [], [], 0, _GATHERED
+    for part in table["part"]:
+        key, count = _unpacked(part.as_py())
+        keys.append(key)
+        counts.append(count)
+        held += len(key)
+        if held > 2 * least:
+            key, count = _summed(keys, counts)
+            keys, counts, held, least = [key], [count], len(key), max(least, len(key))
+    return _summed(keys, counts)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """``key`` (hash of the token) and ``c`` over all ``docs``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _gathered(
-            tokens for b in batches for _, tokens, _ in tokens_of(shared.texts_of(b))
-        )
+        found = _gathered(tokens for b in batches for _, tokens, _ in tokens_of(shared.texts_of(b)))
+        for key, count in found:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key.view(np.int64)), pa.array(count)], ["key", "c"]
+            )
 
     counted = shared.arrow_map(docs.select("text"), work, "key long, c long")
     return counted.groupBy("key").agg(F.sum("c").alias("c"))
@@ -157,34 +193,64 @@ def frequent_words(counts: DataFrame, most: int = DIRECT) -> Words:
     )
 
 
-def _pairs(number: np.ndarray, row: np.ndarray) -> np.ndarray:
-    known = (number >= 0) & (number < LEVELS[0])
-    here = known[1:] & known[:-1] & (row[1:] == row[:-1])
-    return (number[:-1][here] * LEVELS[0] + number[1:][here]).astype(np.uint64)
+def _file_of_word(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+
 
+def number_words(counts: DataFrame, words: Words, folder: str) -> None:
+    """Files of the words that are not among ``words``: by the first bits of their hashes, sorted
+    hashes and counts; and the file ``shape`` of what is common to all levels."""
+    direct = len(words.counts)
+    bits = max(4, (max(words.distinct - direct, 1) // _WORDS).bit_length())
+    rare = counts.filter(F.col("c") < int(words.counts[-1])) if direct else counts
+    rows = rare.select(F.shiftrightunsigned("key", 64 - bits).cast("int").alias("file"), "key", "c")
 
-def _triples(number: np.ndarray, row: np.ndarray) -> np.ndarray:
-    known = (number >= 0) & (number < LEVELS[1])
-    here = known[2:] & known[1:-1] & known[:-2] & (row[2:] == row[:-2])
-    a, b, c = (number[k : len(number) - 2 + k][here] for k in range(3))
-    return ((a * LEVELS[1] + b) * LEVELS[1] + c + _TRIPLE).astype(np.uint64)
+    def work(key: tuple, table: pa.Table) -> pa.Table:
+        file, hashes = key[0].as_py(), np.array(table["key"], np.int64).view(np.uint64)
+        order = np.argsort(hashes)
+        write(folder, f"words-{file:05d}", {"hashes": hashes[order], "counts": np.array(table["c"], np.int64)[order]})
+        return pa.table({"file": pa.array([file], pa.int32()), "size": pa.array([len(hashes)], pa.int64())})
 
+    sizes = np.zeros(1 << bits, np.int64)
+    for r in rows.groupBy("file").applyInArrow(work, "file int, size long").collect():
+        sizes[r["file"]] = r["size"]
+    shards = SHARDS << max(0, (words.total // (SHARDS * _TOKENS)).bit_length())
+    starts = np.concatenate([[0], np.cumsum(sizes)]) + direct
+    if starts[-1] > LEVELS[0]:
+        raise OverflowError("more words than codes of pairs have room for")
+    write(folder, "shape", {"words": starts, "cut": np.array([shards, _CONTEXTS])})
 
-def ngram_counts(docs: DataFrame, words: Words) -> DataFrame:
-    """``key`` (pair, or triple plus 2^60, of word numbers) and ``c`` over all ``docs``."""
+
+def _counted(docs: DataFrame, folder: str, words: Words, order: int, span: int, files: int) -> DataFrame:
+    """``file`` and ``part`` (packed codes within the file, counts) of the n-grams of ``docs``. A
+    file has ``span`` codes."""
     known = docs.sparkSession.sparkContext.broadcast(words)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = Trie(folder, known.value)
+
         def parts() -> Iterator[np.ndarray]:
             for batch in batches:
                 for _, tokens, row in tokens_of(shared.texts_of(batch)):
-                    number = known.value.of(tokens)
-                    yield np.concatenate([_pairs(number, row), _triples(number, row)])
+                    yield trie.codes(order, trie.numbers(tokens), row)
 
-        yield from _gathered(parts())
+        for key, count in _gathered(parts()):
+            if not len(key):
+                continue
+            file = (key // np.uint64(span)).astype(np.int64)
+            start = np.flatnonzero(np.diff(file, prepend=-1))
+            ends = np.append(start[1:], len(key))
+            inner = key - file.astype(np.uint64) * np.uint64(span)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(file[start], pa.int64()),
+                    pa.array([_packed(inner[i:j], count[i:j]) for i, j in zip(start, ends, strict=True)], pa.binary()),
+                ],
+                ["file", "part"],
+            )
 
-    counted = shared.arrow_map(docs.select("text"), work, "key long, c long")
-    return counted.groupBy("key").agg(F.sum("c").alias("c"))
+    rows = shared.arrow_map(docs.select("text"), work, "file long, part binary")
+    return rows.repartition(max(1, files), "file")
 
 
 def _quantised(probability: np.ndarray) -> np.ndarray:
@@ -232,240 +298,234 @@ class Trie:
     def __init__(self, folder: str, words: Words) -> None:
         self.folder, self.words = folder, words
         self.levels: dict[tuple[int, int], Level | None] = {}
-        self.unigrams = np.log10(words.counts + 1.0) - words.floor
+        self.rare: dict[int, dict[str, np.ndarray] | None] = {}
+        shape = mapped(folder, "shape")
+        self.starts = shape["words"]
+        self.shards, self.contexts = (int(x) for x in shape["cut"])
+        self.vocabulary = int(self.starts[-1])
+        #: Contexts of a file of the second level.
+        self.width = self.vocabulary // self.shards + 1
+        self._places: np.ndarray | None = None
+
+    @property
+    def places(self) -> np.ndarray:
+        """First place of each file of the second level among all pairs."""
+        if self._places is None:
+            self._places = mapped(self.folder, "places")["places"]
+        return self._places
 
     def level(self, order: int, shard: int) -> Level | None:
         if (order, shard) not in self.levels:
             parts = mapped(self.folder, f"level{order}-{shard:03d}")
-            self.levels[order, shard] = parts and Level(parts, LEVELS[order - 2])
+            self.levels[order, shard] = parts and Level(parts, self.vocabulary)
         return self.levels[order, shard]
 
+    def _rare(self, file: int) -> dict[str, np.ndarray] | None:
+        if file not in self.rare:
+            self.rare[file] = mapped(self.folder, f"words-{file:05d}")
+        return self.rare[file]
+
+    def numbers(self, tokens: np.ndarray) -> np.ndarray:
+        """Numbers of the tokens; -1 for words that were not seen."""
+        out = self.words.of(tokens)
+        at = np.flatnonzero(out < 0)
+        if not len(at) or self.vocabulary == len(self.words.counts):
+            return out
+        hashes, back = np.unique(tokens[at], return_inverse=True)
+        found = np.full(len(hashes), -1)
+        file = _file_of_word(hashes, (len(self.starts) - 1).bit_length() - 1)
+        for k in np.unique(file).tolist():
+            if (part := self._rare(k)) is None:
+                continue
+            here = np.flatnonzero(file == k)
+            place = np.minimum(np.searchsorted(part["hashes"], hashes[here]), len(part["hashes"]) - 1)
+            same = part["hashes"][place] == hashes[here]
+            found[here[same]] = self.starts[k] + place[same]
+        out[at] = found[back]
+        return out
+
+    def counts(self, number: np.ndarray) -> np.ndarray:
+        """Counts of the words; 0 for those that were not seen."""
+        out = np.zeros(len(number), np.int64)
+        direct = len(self.words.counts)
+        near = (number >= 0) & (number < direct)
+        out[near] = self.words.counts[number[near]]
+        at = np.flatnonzero(number >= direct)
+        file = np.searchsorted(self.starts, number[at], "right") - 1
+        for k in np.unique(file).tolist():
+            here = at[file == k]
+            out[here] = self._rare(k)["counts"][number[here] - self.starts[k]]
+        return out
+
+    def unigrams(self, number: np.ndarray) -> np.ndarray:
+        return np.log10(self.counts(number) + 1.0) - self.words.floor
+
+    def codes(self, order: int, number: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Codes of all pairs or triples within rows; all words have numbers. The file is the
+        code's highest part, then the context in it, then the word."""
+        size = np.uint64(self.vocabulary)
+        here = np.flatnonzero(row[order - 1 :] == row[: 1 - order])
+        if order == 2:
+            a, last = number[here], number[here + 1]
+            context = a % self.shards * self.width + a // self.shards
+        else:
+            last = number[here + 2]
+            key, back = np.unique(number[here] * self.vocabulary + number[here + 1], return_inverse=True)
+            context = self.pairs(key // max(self.vocabulary, 1), key % max(self.vocabulary, 1))[1][back]
+        return context.astype(np.uint64) * size + last.astype(np.uint64)
+
     def pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each pair: logarithm (nan if it is not there), place, backoff of its context."""
+        """For each pair: logarithm (nan if it is not there), place among all pairs, backoff of
+        its context."""
         logs, place, back = np.full(len(a), np.nan), np.full(len(a), -1), np.zeros(len(a))
-        for shard in np.unique(a % SHARDS).tolist():
-            level, at = self.level(2, shard), np.flatnonzero(a % SHARDS == shard)
+        order = np.argsort(a % self.shards, kind="stable")
+        cuts = np.searchsorted((a % self.shards)[order], np.arange(self.shards + 1))
+        for shard in np.flatnonzero(np.diff(cuts)).tolist():
+            level, at = self.level(2, shard), order[cuts[shard] : cuts[shard + 1]]
             if level is None:
                 continue
-            context = a[at] // SHARDS
+            at = at[a[at] // self.shards < len(level.backoff)]
+            context = a[at] // self.shards
             found, equal = level.find(context, b[at])
             logs[at[equal]] = level.logs[found[equal]] / -STEPS
-            place[at[equal]] = found[equal]
-            inside = context < len(level.backoff)
-            back[at[inside]] = level.backoff[context[inside]] / -STEPS
+            place[at[equal]] = found[equal] + (self.places[shard] if equal.any() else 0)
+            back[at] = level.backoff[context] / -STEPS
         return logs, place, back
 
-    def triples(
-        self, a: np.ndarray, place: np.ndarray, c: np.ndarray
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """For words after the pair at ``place`` (of the shard of ``a``): logarithm, backoff."""
-        logs, back = np.full(len(a), np.nan), np.zeros(len(a))
-        for shard in np.unique(a % SHARDS).tolist():
-            level, at = self.level(3, shard), np.flatnonzero(a % SHARDS == shard)
+    def triples(self, place: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For words after the pair at ``place``: logarithm, backoff."""
+        logs, back = np.full(len(place), np.nan), np.zeros(len(place))
+        order = np.argsort(place, kind="stable")
+        file = place[order] // self.contexts
+        start = np.flatnonzero(np.diff(file, prepend=-1))
+        for i, j in zip(start, np.append(start[1:], len(place)), strict=True):
+            level, at = self.level(3, int(file[i])), order[i:j]
             if level is None:
                 continue
-            at = at[place[at] < len(level.backoff)]
-            found, equal = level.find(place[at], c[at])
+            at = at[place[at] % self.contexts < len(level.backoff)]
+            context = place[at] % self.contexts
+            found, equal = level.find(context, c[at])
             logs[at[equal]] = level.logs[found[equal]] / -STEPS
-            back[at] = level.backoff[place[at]] / -STEPS
+            back[at] = level.backoff[context] / -STEPS
         return logs, back
 
+    def seconds(self, first: int, last: int) -> np.ndarray:
+        """Second words of the pairs at the places from ``first`` to before ``last``."""
+        found = []
+        for shard in range(self.shards):
+            a, b = (int(min(max(x, self.places[shard]), self.places[shard + 1])) for x in (first, last))
+            if a < b:
+                values = self.level(2, shard).words.at(np.arange(a, b) - self.places[shard])
+                found.append((values % np.uint64(self.vocabulary)).astype(np.int64))
+        return np.concatenate(found)
+
     def scores(self, number: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """log10 probability of each token after the two before it. For words without a number
-        it is what their own unigram's is added to."""
-        out = np.where(number >= 0, self.unigrams[np.maximum(number, 0)], 0.0) if len(
-            self.unigrams
-        ) else np.zeros(len(number))
-        first, second = LEVELS
-        n = len(number)
+        """log10 probability of each token after the two before it."""
+        out = self.unigrams(number)
+        n, size = len(number), self.vocabulary
         # Pairs: equal ones are looked up once.
         same = np.zeros(n, bool)
         same[1:] = row[1:] == row[:-1]
         before = np.concatenate([[-1], number[:-1]])
-        at = np.flatnonzero(same & (before >= 0) & (before < first))
+        at = np.flatnonzero(same & (before >= 0))
         if not len(at):
             return out
-        inside = np.where((number[at] >= 0) & (number[at] < first), number[at], first)
-        key, back = np.unique(before[at] * (first + 1) + inside, return_inverse=True)
-        logs, place, weight = self.pairs(key // (first + 1), key % (first + 1))
+        inside = np.where(number[at] >= 0, number[at], size)
+        key, back = np.unique(before[at] * (size + 1) + inside, return_inverse=True)
+        logs, place, weight = self.pairs(key // (size + 1), key % (size + 1))
         logs, place, weight = logs[back], place[back], weight[back]
-        seen = ~np.isnan(logs) & (inside < first)
+        seen = ~np.isnan(logs) & (inside < size)
         out[at] = np.where(seen, logs, weight + out[at])
         places = np.full(n, -1)
         places[at] = np.where(seen, place, -1)
         # Triples: the pair before the token is its context, if it is there itself.
         context = np.concatenate([[-1], places[:-1]])
-        start = np.concatenate([[-1, -1], number[:-2]])[:n]
-        after_two = same & (context >= 0) & (start >= 0) & (start < second) & (before < second)
-        at = np.flatnonzero(after_two)
+        at = np.flatnonzero(same & (context >= 0))
         if not len(at):
             return out
-        inside = np.where((number[at] >= 0) & (number[at] < second), number[at], second)
-        triple = (start[at] * first + before[at]) * (second + 1) + inside
-        key, one, back = np.unique(triple, return_index=True, return_inverse=True)
-        logs, weight = self.triples(start[at][one], context[at][one], key % (second + 1))
+        inside = np.where(number[at] >= 0, number[at], size)
+        key, back = np.unique(context[at] * (size + 1) + inside, return_inverse=True)
+        logs, weight = self.triples(key // (size + 1), key % (size + 1))
         logs, weight = logs[back], weight[back]
-        out[at] = np.where(np.isnan(logs) | (inside == second), weight + out[at], logs)
+        out[at] = np.where(np.isnan(logs) | (inside == size), weight + out[at], logs)
         return out
 
 
-def _by_shard(counts: DataFrame, order: int) -> DataFrame:
-    """Rows of a level with the file they go to; those of the third level with the counts of the
-    pairs that are contexts."""
-    pair, triple = F.col("key") < _TRIPLE, F.col("key") - _TRIPLE
-    first = F.floor(F.when(pair, F.col("key") / LEVELS[0]).otherwise(triple / LEVELS[1] ** 2))
-    rows = counts.select((first % SHARDS).cast("int").alias("shard"), "key", "c")
-    if order == 2:
-        return rows.filter(pair)
-    short = (first < LEVELS[1]) & (F.col("key") % LEVELS[0] < LEVELS[1])
-    return rows.filter(~pair | (pair & short))
-
-
 def build(docs: DataFrame) -> tuple[str, Words, DataFrame]:
     """Train on ``docs``: the folder of the levels, the frequent words, all word counts."""
     spark = docs.sparkSession
     counts = shared.stored(word_counts(docs), "words")
     words = frequent_words(counts)
-    grams = shared.stored(ngram_counts(docs, words), "grams")
     folder = shared.fresh(spark, "trie")
+    number_words(counts, words, folder)
+    shape = Trie(folder, words)
+    size, shards, width, contexts = shape.vocabulary, shape.shards, shape.width, shape.contexts
     known = spark.sparkContext.broadcast(words)
 
+    def save(file: int, order: int, context: np.ndarray, word: np.ndarray, c: np.ndarray, lower: np.ndarray) -> pa.Table:
+        # A context is followed by a token each time, so its count is that of its followers.
+        total = np.bincount(context, c)
+        held = (c - DISCOUNT) / total[context]
+        rest = 1 - np.bincount(context, held)
+        logs = _quantised(held + rest[context] * lower)
+        write(folder, f"level{order}-{file:03d}", Level.arrays(context, word, logs, _quantised(rest), size))
+        return pa.table({"file": pa.array([file], pa.int64()), "size": pa.array([len(word)], pa.int64())})
+
     def second(key: tuple, table: pa.Table) -> pa.Table:
-        pair, c = np.array(table["key"]), np.array(table["c"], float)
-        order = np.argsort(pair)
-        pair, c = pair[order], c[order]
-        a, b = pair // LEVELS[0], pair % LEVELS[0]
-        context, total = a // SHARDS, known.value.counts[a]
-        held = (c - DISCOUNT) / total
-        size = int(context[-1]) + 1
-        rest = 1 - np.bincount(context, held, minlength=size)
-        unigram = (known.value.counts[b] + 1) / 10**known.value.floor
-        logs = _quantised(held + rest[context] * unigram)
-        shard = key[0].as_py()
-        arrays = Level.arrays(context, b, logs, _quantised(rest), LEVELS[0])
-        write(folder, f"level2-{shard:03d}", arrays)
-        return pa.table({"shard": pa.array([shard], pa.int32()), "size": pa.array([len(pair)], pa.int64())})
+        code, c = _united(table)
+        context, b = (code // np.uint64(size)).astype(np.int64), (code % np.uint64(size)).astype(np.int64)
+        return save(key[0].as_py(), 2, context, b, c, 10 ** Trie(folder, known.value).unigrams(b))
 
     def third(key: tuple, table: pa.Table) -> pa.Table:
-        shard, trie = key[0].as_py(), Trie(folder, known.value)
-        gram, c = np.array(table["key"]), np.array(table["c"], float)
-        order = np.argsort(gram)
-        gram, c = gram[order], c[order]
-        split = int(np.searchsorted(gram, _TRIPLE))
-        if split == len(gram):
-            return pa.table({"shard": pa.array([shard], pa.int32()), "size": pa.array([0], pa.int64())})
-        # A pair is followed by a token each time, so its count is that of its followers.
-        pairs, totals = gram[:split], c[:split]
-        triple, c = gram[split:] - _TRIPLE, c[split:]
-        a, b, last = triple // LEVELS[1] ** 2, triple // LEVELS[1] % LEVELS[1], triple % LEVELS[1]
-        total = totals[np.searchsorted(pairs, a * LEVELS[0] + b)]
-        _, place, _ = trie.pairs(a, b)
-        held = (c - DISCOUNT) / total
-        rest = 1 - np.bincount(place, held, minlength=int(place[-1]) + 1)
-        lower, _, weight = trie.pairs(b, last)
-        lower = np.where(np.isnan(lower), weight + trie.unigrams[last], lower)
-        logs = _quantised(held + rest[place] * 10**lower)
-        arrays = Level.arrays(place, last, logs, _quantised(rest), LEVELS[1])
-        write(folder, f"level3-{shard:03d}", arrays)
-        return pa.table({"shard": pa.array([shard], pa.int32()), "size": pa.array([len(triple)], pa.int64())})
-
-    schema = "shard int, size long"
-    for order, work in ((2, second), (3, third)):
-        _by_shard(grams, order).groupBy("shard").applyInArrow(work, schema).agg(F.sum("size")).collect()
+        file, trie = key[0].as_py(), Trie(folder, known.value)
+        code, c = _united(table)
+        context, last = (code // np.uint64(size)).astype(np.int64), (code % np.uint64(size)).astype(np.int64)
+        # The shorter context of each, whose pair with the last word was counted as well.
+        b = trie.seconds(file * contexts, file * contexts + int(context[-1]) + 1)[context]
+        pair, back = np.unique(b * size + last, return_inverse=True)
+        lower = 10 ** trie.pairs(pair // size, pair % size)[0][back]
+        return save(file, 3, context, last, c, lower)
+
+    schema = "file long, size long"
+    sizes = np.zeros(shards, np.int64)
+    grams = _counted(docs, folder, words, 2, max(width * size, 1), shards)
+    for r in grams.groupBy("file").applyInArrow(second, schema).collect():
+        sizes[r["file"]] = r["size"]
+    places = np.concatenate([[0], np.cumsum(sizes)])
+    write(folder, "places", {"places": places})
+    pairs = int(places[-1])
+    if pairs * (size + 1) >= 1 << 63:
+        raise OverflowError("more pairs than codes of triples have room for")
+    files = -(-pairs // contexts)
+    grams = _counted(docs, folder, words, 3, max(contexts * size, 1), files)
+    grams.groupBy("file").applyInArrow(third, schema).agg(F.sum("size")).collect()
     return folder, words, counts
 
 
 def score(docs: DataFrame, folder: str, words: Words, counts: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score of each row."""
     known = docs.sparkSession.sparkContext.broadcast(words)
-    names = ["doc_id", "mark", "n_tokens", "n_known", "base", "model", "n_rare", "word", "times", "first"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each document, and one for each of its rare words."""
         trie = Trie(folder, known.value)
-        logs = np.log10(known.value.counts + 1.0)
         for batch in batches:
-            texts = shared.texts_of(batch)
-            parts = [(t, r + first) for first, t, r in tokens_of(texts)]
-            if not parts:
+            n, sums = len(batch), []
+            for first, tokens, row in tokens_of(shared.texts_of(batch)):
+                number = trie.numbers(tokens)
+                weights = (None, number >= 0, trie.unigrams(number), trie.scores(number, row))
+                sums.append([np.bincount(row, w) for w in weights])
+            if not n:
                 continue
-            tokens, row = (np.concatenate(p) for p in zip(*parts, strict=True))
-            n, number = len(texts), known.value.of(tokens)
-            near = number >= 0
-            base = np.bincount(row[near], logs[number[near]], minlength=n).astype(float)
-            model = np.bincount(row, trie.scores(number, row), minlength=n).astype(float)
-            doc, mark = batch.column(0), batch.column(1)
-            size, found = np.bincount(row, minlength=n), np.bincount(row[near], minlength=n)
-            none = pa.nulls(n, pa.int64())
+            size, found, base, model = (np.concatenate(p) for p in zip(*sums, strict=True))
             yield pa.RecordBatch.from_arrays(
-                [
-                    doc,
-                    mark,
-                    pa.array(size),
-                    pa.array(found),
-                    pa.array(base),
-                    pa.array(model),
-                    pa.array(size - found),
-                    none,
-                    none,
-                    none,
-                ],
-                names,
-            )
-            pairs, times = np.unique(
-                np.stack([row[~near].astype(np.uint64), tokens[~near]]), axis=1, return_counts=True
-            )
-            if not pairs.shape[1]:
-                continue
-            at = pairs[0].astype(np.int64)
-            k, empty = len(at), pa.nulls(len(at), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    doc.take(pa.array(at)),
-                    mark.take(pa.array(at)),
-                    empty,
-                    empty,
-                    pa.nulls(k, pa.float64()),
-                    pa.nulls(k, pa.float64()),
-                    empty,
-                    pa.array(pairs[1].view(np.int64)),
-                    pa.array(times),
-                    pa.array((np.diff(at, prepend=-1) > 0).astype(np.int64)),
-                ],
-                names,
+                [batch.column(0), pa.array(size), pa.array(found.astype(np.int64)), pa.array(base), pa.array(model)],
+                ["doc_id", "n_tokens", "n_known", "base_score", "score"],
             )
 
-    # Equal rows share their rare words' sum: it is divided by how many they are.
-    rows = shared.stored(
-        shared.arrow_map(
-            docs.select("doc_id", F.xxhash64("text").alias("mark"), "text"),
-            work,
-            "doc_id long, mark long, n_tokens long, n_known long, base double, model double,"
-            " n_rare long, word long, times long, first long",
-        ),
-        "scores",
-    )
-    rare = (
-        rows.filter("word is not null")
-        .select("doc_id", "mark", "word", "times", "first")
-        .join(counts.select(F.col("key").alias("word"), "c"), "word", "left")
-        .groupBy("doc_id", "mark")
-        .agg(
-            F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("logs"),
-            F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("found"),
-            F.sum("first").alias("copies"),
-        )
-    )
-    left, right = rows.filter("word is null").alias("l"), rare.alias("r")
-    same = F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l.mark") == F.col("r.mark"))
-    floor = F.lit(words.floor)
-    logs = F.coalesce(F.col("logs") / F.col("copies"), F.lit(0.0))
-    return left.join(right, same, "left").select(
-        "l.doc_id",
-        "n_tokens",
-        (F.col("n_known") + F.coalesce(F.col("found") / F.col("copies"), F.lit(0))).cast("long").alias("n_known"),
-        (F.col("base") + logs - F.col("n_tokens") * floor).alias("base_score"),
-        (F.col("model") + logs - F.col("n_rare") * floor).alias("score"),
+    return shared.arrow_map(
+        docs.select("doc_id", "text"),
+        work,
+        "doc_id long, n_tokens long, n_known long, base_score double, score double",
     )
 
 

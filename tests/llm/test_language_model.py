@@ -133,3 +133,42 @@ def test_empty_tables(spark, tmp_path):
     model = language_model.build(corpus.documents(spark, []))
     got = language_model.score(corpus.documents(spark, [(1, "a b", None, None, None)]), *model).collect()
     assert [(r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in got] == [(3, 0, 0.0, 0.0)]
+
+
+def test_every_pair_and_triple_counts(spark, tmp_path, monkeypatch):
+    """Scores are those of the formula over all n-grams, however few words are frequent ones and
+    however the levels are cut."""
+    made = rows()
+    monkeypatch.setattr(language_model, "_CONTEXTS", 1024)
+    real = language_model.frequent_words
+    monkeypatch.setattr(language_model, "frequent_words", lambda counts: real(counts, 5))
+    folder = corpus.save(corpus.documents(spark, made), tmp_path)
+    got = [tuple(r) for r in language_model.op10_lm_scores(spark, folder).collect()]
+    grams, follow = Counter(), {}
+    for r in made:
+        if not held_out(r[0]):
+            own = tokens(r[1])
+            for n in (1, 2, 3):
+                grams.update(zip(*(own[k:] for k in range(n))))
+    for gram in grams:
+        if len(gram) > 1:
+            follow.setdefault(gram[:-1], []).append(grams[gram])
+    total = sum(c for g, c in grams.items() if len(g) == 1)
+    floor = total + sum(len(g) == 1 for g in grams) + 1
+
+    def plain(gram):
+        if len(gram) == 1:
+            return (grams[gram] + 1) / floor
+        if gram[:-1] not in follow:
+            return plain(gram[1:])
+        after, cut = follow[gram[:-1]], language_model.DISCOUNT
+        return max(grams[gram] - cut, 0) / sum(after) + cut * len(after) / sum(after) * plain(gram[1:])
+
+    want = Counter()
+    for r in made:
+        if len(own := tokens(r[1])) > 1:
+            score = sum(math.log10(plain(tuple(own[max(0, i - 2) : i + 1]))) for i in range(len(own)))
+            want[r[0]] = score / len(own)
+    seen = {r[0]: r[6] / r[2] for r in got if r[2] > 1}
+    assert {k: (seen[k], v) for k, v in want.items() if abs(seen[k] - v) >= 1.6 / language_model.STEPS} == {}
+    assert len(set(grams)) > 1000 and sum(len(g) == 2 for g in grams) > 1024
