@@ -1,9 +1,10 @@
 """Secret scans: fixed patterns, and strings that a tokenizer finds costly.
 
 A tiktoken vocabulary spends few tokens on words and many on random strings. Runs of
-``[A-Za-z0-9+/_=-]`` with letters and digits whose characters per token are below
-``LOW_RATIO`` are reported as ``random``, unless they are known digests or identifiers (see
-``_is_known``) or lie within a span of the fixed patterns.
+``[A-Za-z0-9+/_=-]`` with letters whose characters per token are below ``LOW_RATIO`` are
+reported as ``random``, unless they are digests or UUIDs (see ``_is_known``) or lie within a
+span of the fixed patterns. In a run that is not costly as a whole, as words are joined to the
+secret, its parts between signs are judged (see ``Scanner.parts``).
 
 Defined results: null is the empty text; the same text always has the same spans; a very long
 run is one candidate; extra columns, whatever their names, pass through ``redact``.
@@ -43,9 +44,12 @@ LOW_RATIO = 2.0
 DIGEST_LENGTHS = frozenset({32, 40, 56, 64, 96, 128})
 _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-#: Names and paths: words of letters with short numbers at their ends, joined by one sign.
+#: Names and paths: words of letters with short numbers at their ends, joined by one sign. Their
+#: signs and short words say nothing; only their parts are judged.
 _NAME = re.compile(r"[A-Za-z]*[0-9]{0,4}([_/=+-]+[A-Za-z]*[0-9]{0,4})*")
-_LETTER, _DIGIT = re.compile(r"[A-Za-z]"), re.compile(r"[0-9]")
+_LETTER, _SEGMENT = re.compile(r"[A-Za-z]"), re.compile(r"[A-Za-z0-9]+")
+#: Mean length of parts that are judged together; shorter ones are abbreviations.
+_SEGMENT_LENGTH = 5
 #: Characters that are counted at once, so that one endless run is cheap.
 _PART = 4096
 
@@ -56,7 +60,7 @@ def _class(pattern: str) -> np.ndarray:
 
 
 _HEX_BYTE, _UPPER_BYTE = _class("[0-9a-f]"), _class("[A-Z0-9]")
-_RUN_BYTE, _DIGIT_BYTE, _ASSIGN_BYTE = _class("[A-Za-z0-9+/_=-]"), _class("[0-9]"), _class("[:=]")
+_RUN_BYTE, _ASSIGN_BYTE = _class("[A-Za-z0-9+/_=-]"), _class("[:=]")
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 
@@ -67,12 +71,10 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 def _is_known(run: str) -> bool:
-    """Digests of known lengths, UUIDs, names of words and short numbers, plain numbers."""
-    if _UUID.fullmatch(run) or not _LETTER.search(run) or not _DIGIT.search(run):
+    """Digests of known lengths, UUIDs, plain numbers."""
+    if _UUID.fullmatch(run) or not _LETTER.search(run):
         return True
-    if len(run) in DIGEST_LENGTHS and _HEX_ONLY.fullmatch(run):
-        return True
-    return bool(_NAME.fullmatch(run))
+    return len(run) in DIGEST_LENGTHS and bool(_HEX_ONLY.fullmatch(run))
 
 
 class Scanner:
@@ -85,6 +87,31 @@ class Scanner:
         parts = [run[k : k + _PART] for k in range(0, len(run), _PART)]
         return len(run) / sum(len(self.encoding.encode_ordinary(p)) for p in parts)
 
+    def parts(self, run: str) -> list[tuple[int, int]]:
+        """Costly parts of a run: as few neighbouring segments between signs as are long enough
+        together. UUIDs, digests and numbers are no part of any."""
+        hidden = _UUID.sub(lambda m: "-" * len(m.group()), run)
+        segments, found = [], []
+        for m in _SEGMENT.finditer(hidden):
+            tokens = 0 if _is_known(m.group()) else len(m.group()) / self.ratio(m.group())
+            segments.append((*m.span(), tokens))
+        for k, (start, _, _) in enumerate(segments):
+            letters = tokens = 0
+            for n, (a, end, cost) in enumerate(segments[k:], 1):
+                if not cost:
+                    break
+                letters, tokens = letters + end - a, tokens + cost
+                if end - start >= RUN_LENGTH:
+                    if letters < LOW_RATIO * tokens and letters >= n * _SEGMENT_LENGTH:
+                        found.append((start, end))
+                    break
+        joined: list[tuple[int, int]] = []
+        for start, end in found:
+            if joined and start <= joined[-1][1]:
+                start, end = joined[-1][0], max(joined.pop()[1], end)
+            joined.append((start, end))
+        return joined
+
     def spans(self, text: str) -> list[tuple[int, int, str]]:
         """All spans as (start, end, kind), by start and kind."""
         found = [
@@ -104,8 +131,13 @@ class Scanner:
             start, end = m.span()
             if any(a <= start and end <= b for a, b, _ in fixed) or _is_known(m.group()):
                 continue
-            if self.ratio(m.group()) < LOW_RATIO:
+            by_parts = _NAME.fullmatch(m.group()) or _UUID.search(m.group())
+            if not by_parts and self.ratio(m.group()) < LOW_RATIO:
                 found.append((start, end, "random"))
+                continue
+            for a, b in self.parts(m.group()):
+                if not any(x <= start + a and start + b <= y for x, y, _ in fixed):
+                    found.append((start + a, start + b, "random"))
         return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
@@ -117,10 +149,7 @@ def suspects(texts: pa.Array) -> np.ndarray:
         for kind, least in ((_HEX_BYTE, 16), (_UPPER_BYTE, ACCESS_LENGTH), (_RUN_BYTE, RUN_LENGTH)):
             starts, ends, _ = shared.word_bounds(data, offsets, kind)
             long = ends - starts >= least
-            starts, ends = starts[long], ends[long]
-            if kind is _RUN_BYTE:
-                digits = np.concatenate([[0], np.cumsum(_DIGIT_BYTE[data], dtype=np.int32)])
-                starts = starts[digits[ends] > digits[starts]]
+            starts = starts[long]
             out[first + np.searchsorted(offsets, starts, "right") - 1] = True
         signs = np.flatnonzero(_ASSIGN_BYTE[data])
         out[first + np.searchsorted(offsets, signs, "right") - 1] = True

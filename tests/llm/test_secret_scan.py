@@ -1,4 +1,6 @@
 import hashlib
+import random
+import string
 
 import pyarrow as pa
 import pytest
@@ -74,3 +76,20 @@ def test_empty_table(spark):
 def test_endless_run(scanner):
     value = ("a1B2" * 50_000) + " tail"
     assert scanner.spans(value)[0][:2] == (0, 200_000)
+
+
+def test_random_letters_and_secrets_joined_to_words(scanner):
+    rng = random.Random(4)
+    letters, signs = string.ascii_letters, string.ascii_letters + string.digits
+    for _ in range(200):
+        key = "".join(rng.choices(letters, k=32))
+        assert scanner.spans(f"see {key} here") == [(4, 36, "random")]
+        key = "".join(rng.choices(signs, k=24))
+        for before in ("services/hooks/incoming/", "customer-production-"):
+            (start, end, kind), = scanner.spans(before + key)
+            assert kind == "random" and start <= len(before) and end == len(before) + 24
+    plain = ["services/hooks/incoming/production/customer", "request-550e8400-e29b-41d4-a716-446655440000",
+             "getElementsByClassNameOfDocument", "a_b_c_d_e_f_g_h_i_j_k_l_m"]
+    assert [scanner.spans(v) for v in plain] == [[]] * len(plain)
+    texts = pa.array(["x " + "".join(rng.choices(letters, k=32)) for _ in range(20)], pa.large_string())
+    assert all(secret_scan._all_spans(scanner, texts))
