@@ -14,6 +14,7 @@ from .licenses import op7_license_scan
 from .ngram_join import op9_ngram_join
 from .quality import op8_quality_rules
 from .secret_scan import op3_secret_scan
+from .token_counts import op13_token_counts
 from .toxicity import op5_toxicity
 from .warc_audit import ORACLE as _WARC_ORACLE
 from .warc_audit import op6_warc_audit
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_join": op9_ngram_join,
     "op10_lm_scores": op10_lm_scores,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {"op6_warc_audit": _WARC_ORACLE}
