@@ -19,8 +19,10 @@ name of a result column are replaced by it; an empty table gives an empty result
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ from . import shared
 
 BLANK = "▁"
 #: Words and pairs a worker remembers, in each of two generations.
-REMEMBERED = 100_000
+REMEMBERED = 250_000
 #: Longer words are worked out anew each time.
 LONG = 64
 LIMIT = 4096
@@ -43,10 +45,6 @@ class Vocabulary:
 
     pieces: dict[str, float]
 
-    @property
-    def longest(self) -> int:
-        return max(map(len, self.pieces), default=1)
-
 
 def load(path: str) -> Vocabulary:
     """A sentencepiece BPE model with byte fallback that leaves texts as they are but for blanks."""
@@ -83,7 +81,8 @@ def public_vocabulary(path: str | None = None) -> Vocabulary:
 
 
 class _Remembered(dict):
-    """A function's results in two generations: what is not used for long is forgotten."""
+    """A function's results in two generations: what is not used for long is forgotten. Of texts,
+    only short ones are kept."""
 
     def __init__(self, work: Callable):
         super().__init__()
@@ -93,77 +92,131 @@ class _Remembered(dict):
         value = self.old.get(key)
         if value is None:
             value = self.work(key)
-        if len(key) <= LONG:
+        self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if type(key) is int or len(key) <= LONG:
             if len(self) >= REMEMBERED:
                 self.old = dict(self)
                 self.clear()
             self[key] = value
-        return value
 
 
 class PrefixCounts:
     """Token counts of all prefixes of a text."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.pieces = vocabulary.pieces
+        self.scores = vocabulary.pieces
+        letters = {c for piece in self.scores for c in piece}
+        #: Tokens by number: pieces, and letters of pieces that are none themselves; 0 is none.
+        self.tokens = ["", *self.scores, *sorted(letters - self.scores.keys())]
+        self.numbers = {t: k for k, t in enumerate(self.tokens) if k}
+        #: A letter without a piece is written as its bytes.
+        self.costs = [1 if t in self.scores else len(t.encode()) for t in self.tokens]
+        #: Lengths of the tokens that end with one or two letters, longest first.
         ends: dict[str, set[int]] = {}
-        for piece in self.pieces:
-            ends.setdefault(piece[-1], {1}).add(len(piece))
-        #: Lengths of the pieces that end with a letter, longest first.
-        self.lengths = {c: sorted(sizes, reverse=True) for c, sizes in ends.items()}
-        crossed = any(BLANK in p.lstrip(BLANK) for p in self.pieces)
-        self.cut = (lambda s: [s]) if crossed else re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+").findall
+        for token in self.tokens[1:]:
+            ends.setdefault(token[-1], {1})
+            ends.setdefault(token[-2:], {1}).add(len(token))
+        self.lengths = {c: tuple(sorted(sizes, reverse=True)) for c, sizes in ends.items()}
+        self.cut = self._cut()
         self.pairs = _Remembered(self._stays)
         self.words = _Remembered(self._steps)
 
-    def _merged(self, symbols: list[str]) -> list[str]:
-        """The tokens of a short string: the best pair first, of equal ones the leftmost."""
-        while True:
-            best, at = -np.inf, -1
-            for k in range(len(symbols) - 1):
-                score = self.pieces.get(symbols[k] + symbols[k + 1])
-                if score is not None and score > best:
-                    best, at = score, k
-            if at < 0:
-                return symbols
+    def _cut(self) -> Callable[[str], list[str]]:
+        """A cut into words of one kind of letters with the blanks before them, if no piece
+        reaches across such a cut; it depends on the two letters beside it only."""
+        inside = {x + y for piece in self.scores for x, y in zip(piece, piece[1:])}
+        rules, moved = [], ""
+        for _ in range(2):
+            letter, sign = rf"[^\W\d_{moved}]", rf"(?:[\W_{moved}](?<!{BLANK}))"
+            rules.append(re.compile(rf"{BLANK}+(?:{letter}+|{sign}+)?|{letter}+|{sign}+|\d"))
+            # Letters that pieces join to signs count as signs.
+            mixed = {c for pair in inside if len(rules[0].findall(pair)) > 1 for c in pair}
+            moved = "".join(c for c in sorted(mixed) if re.match(letter, c))
+        for rule in (*rules, re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")):
+            if all(len(rule.findall(pair)) == 1 for pair in inside):
+                return rule.findall
+        return lambda text: [text]
+
+    def _stays(self, pair: int) -> bool:
+        """Whether two neighbours, encoded on their own, stay the same two tokens (without a left
+        one: whether the right one stays one token). The best pair is merged first, of equal ones
+        the leftmost; a merge across the border between the two decides against them."""
+        left, right = (self.tokens[k] for k in divmod(pair, len(self.tokens)))
+        score = self.scores.get
+        symbols, border = list(left + right), len(left)
+        scores = [score(a + b, -np.inf) for a, b in zip(symbols, symbols[1:])]
+        while scores and (best := max(scores)) > -np.inf:
+            at = scores.index(best)
+            if at + 1 == border:
+                return False
+            border -= at < border
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-
-    def _stays(self, pair: tuple[str, str]) -> bool:
-        left, right = pair
-        want = [left, right] if left else [right]
-        return self._merged(list(left + right)) == want
+            del scores[at]
+            for k in (at - 1, at):
+                if 0 <= k < len(scores):
+                    scores[k] = score(symbols[k] + symbols[k + 1], -np.inf)
+        return len(symbols) == 1 + bool(left)
+
+    def _extended(self, word: str, counts: list[int], last: list[int]) -> None:
+        """Carry the token counts and last tokens of a word's first prefixes on to all of them."""
+        numbers, pairs, lengths, many = self.numbers, self.pairs, self.lengths, len(self.tokens)
+        for end in range(len(counts), len(word) + 1):
+            sizes = lengths.get(word[end - 2 : end]) or lengths.get(word[end - 1])
+            if sizes is None:
+                # A letter of no piece stands alone, and nothing merges across it.
+                counts.append(counts[-1] + len(word[end - 1].encode()))
+                last.append(0)
+                continue
+            for size in sizes:
+                if size <= end and (token := numbers.get(word[end - size : end])):
+                    if pairs[last[end - size] * many + token]:
+                        counts.append(counts[end - size] + self.costs[token])
+                        last.append(token)
+                        break
 
     def _counts(self, word: str) -> list[int]:
-        """The token count of each prefix of a word, from its first letter on."""
-        counts, last = [0], [""]
-        for end in range(1, len(word) + 1):
-            for size in self.lengths.get(word[end - 1], (1,)):
-                if size > end:
-                    continue
-                token = word[end - size : end]
-                known = token in self.pieces
-                if (known or size == 1) and self.pairs[last[end - size], token]:
-                    # A letter without a piece is written as its bytes.
-                    counts.append(counts[end - size] + (1 if known else len(token.encode())))
-                    last.append(token)
-                    break
-        return counts[1:]
+        """The token count of each prefix of a word, from the empty one on."""
+        counts = [0]
+        self._extended(word, counts, [0])
+        return counts
 
-    def _steps(self, word: str) -> bytes | None:
+    def _steps(self, word: str, counts: list[int] | None = None) -> bytes | None:
         """What each letter adds to the count, in a byte each; None if it does not fit."""
-        steps = np.diff(self._counts(word), prepend=0)
-        return steps.astype(np.int8).tobytes() if np.abs(steps).max(initial=0) < 128 else None
-
-    def packed(self, text: str) -> bytes:
-        """The width of a step in bytes, then the steps: of the blank that is put before a text,
-        then of each of its letters."""
-        if not text:
-            return b"\x01"
-        words = self.cut(BLANK + text.replace(" ", BLANK))
+        counts = counts or self._counts(word)
+        try:
+            return array("b", map(sub, counts[1:], counts)).tobytes()
+        except OverflowError:
+            return None
+
+    def _learn(self, words: set[str]) -> None:
+        """Work out new words in order: each goes on where it departs from the one before."""
+        counts, last, before = [0], [0], ""
+        for word in sorted(words - self.words.keys() - self.words.old.keys()):
+            same = 0
+            for x, y in zip(word, before):
+                if x != y:
+                    break
+                same += 1
+            del counts[same + 1 :], last[same + 1 :]
+            self._extended(word, counts, last)
+            self.words.keep(word, self._steps(word, counts))
+            before = word
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """For each text the width of a step in bytes, then the steps: of the blank that is put
+        before a text, then of each of its letters."""
+        cuts = [self.cut(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
+        self._learn({w for words in cuts for w in words})
+        return [self._joined(words) for words in cuts]
+
+    def _joined(self, words: list[str]) -> bytes:
         try:
             return b"\x01" + b"".join(map(self.words.__getitem__, words))
         except TypeError:
-            wide = [np.diff(self._counts(w), prepend=0).astype("<i4") for w in words]
+            wide = [np.diff(self._counts(w)).astype("<i4") for w in words]
             return b"\x04" + np.concatenate(wide).tobytes()
 
 
@@ -174,6 +227,10 @@ def unpacked(packed: bytes) -> np.ndarray:
     return np.concatenate([[0], counts[1:]])
 
 
+def _total(packed: bytes) -> int:
+    return int(np.frombuffer(packed, np.int8 if packed[0] == 1 else "<i4", offset=1).sum(dtype=np.int64))
+
+
 #: A worker's counter, by broadcast: what it remembers serves its next tasks too.
 _COUNTERS: dict[int, PrefixCounts] = {}
 
@@ -201,8 +258,10 @@ def prefix_counts(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(known)
         for batch in batches:
-            packed = [counter.packed(t.as_py()) for t in shared.texts_of(batch, text)]
-            sizes = pa.array([int(unpacked(p)[-1]) for p in packed], pa.int64())
+            texts, packed = shared.texts_of(batch, text), []
+            for first, end, _, _ in shared.chunks(texts):
+                packed += counter.packed(texts.slice(first, end - first).to_pylist())
+            sizes = pa.array([_total(p) for p in packed], pa.int64())
             found = [*batch.select(kept).columns, sizes, pa.array(packed, pa.binary())]
             yield pa.RecordBatch.from_arrays(found, [*kept, "n_tokens", "prefix_tokens"])
 
