@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op4_bpe_codec
 from .decontamination import op1_decontamination
+from .importance import ORACLE as _IMPORTANCE_ORACLE
+from .importance import op12_importance_resampling
 from .language_id import op2_language_id
 from .language_model import op10_lm_scores
 from .licenses import op7_license_scan
@@ -30,7 +32,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_join": op9_ngram_join,
     "op10_lm_scores": op10_lm_scores,
+    "op12_importance_resampling": op12_importance_resampling,
     "op13_token_counts": op13_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_warc_audit": _WARC_ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op6_warc_audit": _WARC_ORACLE,
+    "op12_importance_resampling": _IMPORTANCE_ORACLE,
+}
