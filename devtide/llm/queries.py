@@ -14,6 +14,8 @@ from .language_id import op2_language_id
 from .language_model import op10_lm_scores
 from .licenses import op7_license_scan
 from .ngram_join import op9_ngram_join
+from .prefix_trie import ORACLE as _TRIE_ORACLE
+from .prefix_trie import op11_prefix_trie
 from .quality import op8_quality_rules
 from .secret_scan import op3_secret_scan
 from .token_counts import op13_token_counts
@@ -32,11 +34,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_join": op9_ngram_join,
     "op10_lm_scores": op10_lm_scores,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_importance_resampling": op12_importance_resampling,
     "op13_token_counts": op13_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_warc_audit": _WARC_ORACLE,
+    "op11_prefix_trie": _TRIE_ORACLE,
     "op12_importance_resampling": _IMPORTANCE_ORACLE,
 }
