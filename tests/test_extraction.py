@@ -95,7 +95,7 @@ def test_forks_are_left_out_unless_wanted(spark):
         spark, [s.repo(), s.repo("harbor/fork", 2, fork=True), s.without(s.repo("harbor/old", 3), "fork")]
     )
     names = lambda df: sorted(r.repository for r in df.collect())
-    assert names(x.discover(listing)) == ["harbor/old", s.REPO]
+    assert names(x.discover(listing)) == sorted(["harbor/old", s.REPO])
     assert len(names(x.discover(listing, include_forks=True))) == 3
 
 
