@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,8 @@ _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 #: Names and paths: words of letters with short numbers at their ends, joined by one sign. Their
 #: signs and short words say nothing; only their parts are judged.
-_NAME = re.compile(r"[A-Za-z]*[0-9]{0,4}([_/=+-]+[A-Za-z]*[0-9]{0,4})*")
+#: One sign begins one word, so that a match can be read in one way only and takes linear time.
+_NAME = re.compile(r"[A-Za-z]*[0-9]{0,4}(?:[_/=+-][A-Za-z]*[0-9]{0,4})*")
 _LETTER, _SEGMENT = re.compile(r"[A-Za-z]"), re.compile(r"[A-Za-z0-9]+")
 #: Mean length of parts that are judged together; shorter ones are abbreviations.
 _SEGMENT_LENGTH = 5
@@ -77,6 +78,20 @@ def _is_known(run: str) -> bool:
     return len(run) in DIGEST_LENGTHS and bool(_HEX_ONLY.fullmatch(run))
 
 
+def _within(spans: list[tuple[int, int, str]]) -> Callable[[int, int], bool]:
+    """Whether a place lies in one of the spans, for places asked for from left to right: of the
+    spans that begin before a place only the one that reaches farthest matters."""
+    ordered, reach, at = sorted(spans), -1, 0
+
+    def held(start: int, end: int) -> bool:
+        nonlocal reach, at
+        while at < len(ordered) and ordered[at][0] <= start:
+            reach, at = max(reach, ordered[at][1]), at + 1
+        return end <= reach
+
+    return held
+
+
 class Scanner:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.encoding = tiktoken.Encoding(
@@ -97,12 +112,14 @@ class Scanner:
             segments.append((*m.span(), tokens))
         for k, (start, _, _) in enumerate(segments):
             letters = tokens = 0
-            for n, (a, end, cost) in enumerate(segments[k:], 1):
+            # Segments are a letter and a sign at least: this ends after a bounded number.
+            for n in range(k, len(segments)):
+                a, end, cost = segments[n]
                 if not cost:
                     break
                 letters, tokens = letters + end - a, tokens + cost
                 if end - start >= RUN_LENGTH:
-                    if letters < LOW_RATIO * tokens and letters >= n * _SEGMENT_LENGTH:
+                    if letters < LOW_RATIO * tokens and letters >= (n - k + 1) * _SEGMENT_LENGTH:
                         found.append((start, end))
                     break
         joined: list[tuple[int, int]] = []
@@ -126,17 +143,17 @@ class Scanner:
                 if m.end() - m.start() >= ACCESS_LENGTH
             ]
         found += [(*m.span(), "hex") for m in HEX.finditer(text)]
-        fixed = list(found)
+        held = _within(found)
         for m in RUN.finditer(text):
             start, end = m.span()
-            if any(a <= start and end <= b for a, b, _ in fixed) or _is_known(m.group()):
+            if held(start, end) or _is_known(m.group()):
                 continue
             by_parts = _NAME.fullmatch(m.group()) or _UUID.search(m.group())
             if not by_parts and self.ratio(m.group()) < LOW_RATIO:
                 found.append((start, end, "random"))
                 continue
             for a, b in self.parts(m.group()):
-                if not any(x <= start + a and start + b <= y for x, y, _ in fixed):
+                if not held(start + a, start + b):
                     found.append((start + a, start + b, "random"))
         return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 

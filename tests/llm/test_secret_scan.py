@@ -1,6 +1,7 @@
 import hashlib
 import random
 import string
+import time
 
 import pyarrow as pa
 import pytest
@@ -93,3 +94,37 @@ def test_random_letters_and_secrets_joined_to_words(scanner):
     assert [scanner.spans(v) for v in plain] == [[]] * len(plain)
     texts = pa.array(["x " + "".join(rng.choices(letters, k=32)) for _ in range(20)], pa.large_string())
     assert all(secret_scan._all_spans(scanner, texts))
+
+
+@pytest.mark.parametrize("sign", "-_=/+")
+def test_signs_in_a_row_take_linear_time(scanner, sign):
+    value = " ".join(["Section" + sign * 10_000 + "20240101", sign * 30_000, f"a{sign}" * 20_000 + "!", "x1" + sign * 500 + "Zq9"])
+    began = time.perf_counter()
+    scanner.spans(value)
+    assert time.perf_counter() - began < 3
+
+
+def test_a_long_list_of_digests_takes_linear_time(scanner):
+    lines = [f"{hashlib.sha256(str(k).encode()).hexdigest()}  file_{k}.bin" for k in range(100_000)]
+    value = "\n".join(lines)
+    began = time.perf_counter()
+    found = scanner.spans(value)
+    assert time.perf_counter() - began < 20
+    assert [s[:2] for s in found if s[2] == "hex"] == [m.span() for m in secret_scan.HEX.finditer(value)]
+    assert not [s for s in found if s[2] == "random"]
+
+
+@pytest.mark.parametrize(
+    "letters",
+    [string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "-_", string.ascii_lowercase + string.digits],
+)
+def test_recall_of_random_strings(scanner, letters):
+    """Of random strings of 24 to 48 letters of each alphabet, between words, nearly all are found."""
+    rng, found = random.Random(11), 0
+    for _ in range(300):
+        secret = "".join(rng.choices(letters, k=rng.randint(24, 48)))
+        value = f"the value is {secret} as written"
+        spans = [s for s in scanner.spans(value) if s[2] in ("random", "hex")]
+        covered = {k for a, b, _ in spans for k in range(a, b)}
+        found += len(covered & set(range(13, 13 + len(secret)))) >= 0.8 * len(secret)
+    assert found >= 285
