@@ -161,9 +161,15 @@ def bucket_counts(rows: DataFrame, text: str = "text", runs: int = 1) -> np.ndar
         for batch in batches:
             for _, _, buckets in _scanned(shared.texts_of(batch, text), runs):
                 total += np.bincount(buckets, minlength=BUCKETS)
-        yield pa.RecordBatch.from_pydict({"total": [total.tobytes()]})
-
-    return shared.tree_sum(shared.arrow_map(rows.select(text), work, "total binary"), "total", "int64", BUCKETS)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["bucket", "n"])
+
+    parts = shared.arrow_map(rows.select(text), work, "bucket long, n long")
+    out = np.zeros(BUCKETS, np.int64)
+    # One row a bucket reaches the driver.
+    for bucket, n in parts.groupBy("bucket").agg(F.sum("n")).collect():
+        out[bucket] = n
+    return out
 
 
 def gains(corpus: np.ndarray, target: np.ndarray) -> np.ndarray:
