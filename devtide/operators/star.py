@@ -128,7 +128,7 @@ def with_generated(df: DataFrame, table: str) -> DataFrame:
     return conform(df.withColumn("event_month", month_start(F.col(moment))), WAREHOUSE[table])
 
 
-def _in_known_repository(staged: DataFrame, dim_repository: DataFrame) -> DataFrame:
+def in_known_repository(staged: DataFrame, dim_repository: DataFrame) -> DataFrame:
     """Resolve the repository by name; rows of an unknown name are dropped.
 
     No broadcast hint: the planner broadcasts the two dimension columns when their
@@ -141,7 +141,7 @@ def _in_known_repository(staged: DataFrame, dim_repository: DataFrame) -> DataFr
 
 
 def commit_fact_rows(staged: DataFrame, dim_repository: DataFrame, now: Now) -> DataFrame:
-    rows = _in_known_repository(staged, dim_repository).select(
+    rows = in_known_repository(staged, dim_repository).select(
         "repository_key",
         "commit_sha",
         _person("author_nk").alias("author_key"),
@@ -159,7 +159,7 @@ def commit_fact_rows(staged: DataFrame, dim_repository: DataFrame, now: Now) ->
 
 
 def pull_request_fact_rows(staged: DataFrame, dim_repository: DataFrame, now: Now) -> DataFrame:
-    rows = _in_known_repository(staged, dim_repository).select(
+    rows = in_known_repository(staged, dim_repository).select(
         F.col("github_pr_id").alias("pull_request_key"),
         "repository_key",
         _person("author_nk").alias("author_key"),
@@ -191,7 +191,7 @@ def review_fact_rows(
     """
     known = pull_requests.select("repository_key", "pr_number", "pull_request_key")
     rows = (
-        _in_known_repository(staged, dim_repository)
+        in_known_repository(staged, dim_repository)
         .join(known, ["repository_key", "pr_number"])
         .select(
             F.col("github_review_id").alias("review_key"),
@@ -208,7 +208,7 @@ def review_fact_rows(
 
 
 def issue_fact_rows(staged: DataFrame, dim_repository: DataFrame, now: Now) -> DataFrame:
-    rows = _in_known_repository(staged, dim_repository).select(
+    rows = in_known_repository(staged, dim_repository).select(
         F.col("github_issue_id").alias("issue_key"),
         "repository_key",
         _person("author_nk").alias("author_key"),

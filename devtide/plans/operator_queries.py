@@ -722,7 +722,7 @@ def versioned_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         months = load.touched_months("fact_pull_request", rows, ["pull_request_key"])
         target = load.read("fact_pull_request").filter(F.col("event_month").isin(months))
         merged = star.merge_fact("fact_pull_request", target, rows)
-        load.put_months("fact_pull_request", merged, months)
+        load.put_months("fact_pull_request", merged, months, rows)
         if run != "r3":
             load.publish()
     return warehouse.read("fact_pull_request").select(

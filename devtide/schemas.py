@@ -127,6 +127,17 @@ PARTITION_COLUMN = {
     "fact_issue": "event_month",
 }
 
+# Keys that lead to the month, and the merge key, of a fact's row.
+INDEXES = {
+    "fact_commit": {"key": ("repository_key", "commit_sha")},
+    "fact_pull_request": {"key": ("pull_request_key",), "number": ("repository_key", "pr_number")},
+    "fact_review": {"key": ("review_key",)},
+    "fact_issue": {"key": ("issue_key",), "number": ("repository_key", "issue_number")},
+}
+
+# Dimensions that are kept in hash buckets of their natural key.
+BUCKETED = {"dim_contributor": ("contributor_nk",)}
+
 # What an extraction asked for, per repository and entity.
 EXTRACTION_PLAN = _columns(
     "entity string, repository string, previous timestamp, since timestamp, truncated boolean"
@@ -139,6 +150,11 @@ EXTRACTION_RESULTS = _columns(
 )
 
 
+def index_layout(table: str, name: str) -> Layout:
+    keys = [*INDEXES[table][name], *INDEXES[table]["key"], PARTITION_COLUMN[table]]
+    return {column: WAREHOUSE[table][column] for column in keys}
+
+
 def ddl(layout: Layout) -> str:
     return ", ".join(f"{name} {kind}" for name, kind in layout.items())
 
