@@ -289,8 +289,17 @@ def trie(sequences: DataFrame, members: DataFrame) -> DataFrame:
     )
     numbers = ["n_convs", "n_children", "n_leaves", "saved_tokens"]
 
+    # The root, one row, from one row of each side.
+    empty = members.filter("n_places = 0")
+    least, n_convs = members.agg(F.min("conv_id"), F.count("*")).first()
+    n_ends, end = empty.agg(F.count("*"), F.min("conv_id")).first()
+    below = nodes.filter("depth = 1").agg(F.count("*"), F.sum("n_leaves"), F.sum("saved_tokens")).first()
+    a, b = ROOT.view(np.int64).tolist()
+    root = [(a, b, least, 0, n_convs, below[0], max(below[1] or 0, 1), below[2] or 0, n_ends, end, None)]
+    kinds = ["a", "b", "conv_id", "depth", *numbers, "n_ends", "end", "parent_conv_id"]
+    root = members.sparkSession.createDataFrame(root if n_convs else [], ", ".join(f"{k} long" for k in kinds))
+
     # The top of a branch hangs in another sequence's node; below it, parents have the same owner.
-    least = members.agg(F.min("conv_id")).first()[0]
     deep = F.col("branch") & (F.col("depth") > 1)
     parent = F.when(F.col("depth") == 1, F.lit(least).cast("long")).otherwise(F.col("conv_id"))
     hung = nodes.filter(~deep).withColumn("parent_conv_id", parent)
@@ -298,22 +307,6 @@ def trie(sequences: DataFrame, members: DataFrame) -> DataFrame:
         F.col("a").alias("up_a"), F.col("b").alias("up_b"), F.col("conv_id").alias("parent_conv_id")
     )
     hung = hung.unionByName(nodes.filter(deep).join(above, ["up_a", "up_b"]))
-
-    empty = members.filter("n_places = 0")
-    root = members.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs")).filter("n_convs > 0")
-    below = nodes.filter("depth = 1").agg(
-        F.count("*").alias("n_children"),
-        F.greatest(F.sum("n_leaves"), F.lit(1)).alias("n_leaves"),
-        F.coalesce(F.sum("saved_tokens"), F.lit(0)).alias("saved_tokens"),
-    )
-    ended = empty.agg(F.count("*").alias("n_ends"), F.min("conv_id").alias("end"))
-    a, b = ROOT.view(np.int64).tolist()
-    one = F.lit(1)
-    root = root.withColumn("k", one).join(below.withColumn("k", one), "k").join(ended.withColumn("k", one), "k")
-    root = root.select(
-        F.lit(a).alias("a"), F.lit(b).alias("b"), "conv_id", F.lit(0).cast("long").alias("depth"),
-        *numbers, "n_ends", "end", F.lit(None).cast("long").alias("parent_conv_id"),
-    )
     everything = hung.select(*root.columns).unionByName(root)
 
     ends = shared.stored(
