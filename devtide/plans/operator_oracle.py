@@ -389,6 +389,16 @@ OPERATORS: dict[str, str] = {
         WHERE previous IS NOT NULL OR new_watermark IS NOT NULL""",
         "win", "res",
     ),
+    "empty_repositories": sql(
+        """SELECT n_name AS repository, e.entity, CAST(CASE WHEN e.entity = 'repositories'
+          THEN 1 ELSE 0 END AS BIGINT) AS records,
+        date_trunc('second', previous) AS new_watermark
+        FROM n CROSS JOIN (VALUES ('repositories'), ('commits'), ('pull_requests'), ('reviews'),
+          ('issues')) e(entity)
+        LEFT JOIN win ON win.repository = n_name AND win.entity = e.entity
+        WHERE n.r_name = 'AMERICA'""",
+        "win", "n",
+    ),
     "extraction_record_counts": sql(
         "SELECT entity, CAST(sum(records) AS BIGINT) AS records FROM res GROUP BY 1", "res"
     ),
@@ -582,6 +592,30 @@ OPERATORS: dict[str, str] = {
         FROM d WHERE ts < TIMESTAMP '2000-01-01' GROUP BY 1, 2""",
         "pr", "issue", "review",
     ),
+    "load_constraints": sql(
+        """WITH odd AS (SELECT * FROM pr WHERE pull_request_key % 8 = 1)
+        SELECT 'fact_pull_request' AS "table", rule, violations FROM (
+          SELECT 'updated_at is required' AS rule, count(*) FILTER (title = '5-LOW') AS violations FROM odd
+          UNION ALL SELECT 'state is open or closed', count(*) FILTER (title = '1-URGENT') FROM odd
+          UNION ALL SELECT 'created_date_key is in the calendar',
+            count(*) FILTER (created_at < TIMESTAMP '1995-01-01') FROM odd
+          UNION ALL SELECT 'closed_date_key is in the calendar',
+            count(*) FILTER (closed_at < TIMESTAMP '1995-01-01') FROM odd
+          UNION ALL SELECT 'merged_date_key is in the calendar',
+            count(*) FILTER (merged_at < TIMESTAMP '1995-01-01') FROM odd
+          UNION ALL SELECT '(repository_key, pr_number) is unique', count(*) FROM odd
+          UNION ALL SELECT 'repository_key is in dim_repository', count(DISTINCT repository_key) FROM odd
+          UNION ALL SELECT 'author_key is in dim_contributor',
+            count(DISTINCT author_key) FILTER (author_key NOT IN (
+              SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0)) FROM odd)
+        WHERE violations > 0""",
+        "pr",
+    ),
+    "load_rebase": sql(
+        """SELECT pull_request_key, date_trunc('month', created_at)::DATE AS event_month,
+        'again' AS refused FROM pr""",
+        "pr",
+    ),
     "quality_results": sql(
         "SELECT name, severity, description, violations, violations = 0 AS passed FROM ("
         + " UNION ALL ".join(
@@ -629,6 +663,20 @@ OPERATORS: dict[str, str] = {
         WHERE r_name <> 'AFRICA'""",
         "sp", "n",
     ),
+    "stream_isolation": sql(
+        """SELECT run_id, status, parked, (SELECT count(*) FROM sp JOIN n
+          ON n_name = repository_full_name WHERE r_name <> 'AFRICA') AS pulls
+        FROM (VALUES ('r0', 'succeeded', false), ('r1', 'failed', true), ('r2', 'succeeded', false))
+          AS v(run_id, status, parked)""",
+        "sp", "n",
+    ),
+    "stream_watermarks": sql(
+        """SELECT way, repository AS repository_full_name, entity,
+        greatest(previous, new_watermark) AS watermark_at
+        FROM win JOIN res USING (repository, entity), (VALUES ('batch'), ('stream')) AS w(way)
+        WHERE previous IS NOT NULL OR new_watermark IS NOT NULL""",
+        "win", "res",
+    ),
     "stream_replay": sql(
         """SELECT 'r0' AS run_id, 'succeeded' AS status, true AS loaded_once, count(*) AS pulls
         FROM sp JOIN n ON n_name = repository_full_name WHERE r_name <> 'AFRICA'""",

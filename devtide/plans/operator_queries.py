@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 from functools import partial, reduce
 
@@ -10,16 +11,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.payload import at
-from ..functions.people import PERSON_FIELDS, git_identity, linked_account
+from ..functions.people import PERSON_FIELDS, contributor_key, git_identity, linked_account
 from ..functions.text import headline, repository_slug, safe_run_id
 from ..operators import contracts, extraction, flatten, quality, runlog, star
-from ..operators.constraints import constraint_violations
+from ..operators.constraints import MERGE_KEYS, constraint_violations
 from ..operators.dedupe import keep_first, keep_last
-from ..schemas import ENTITIES, STAGED, WATERMARKED, conform
+from ..schemas import ENTITIES, STAGED, WAREHOUSE, WATERMARKED, conform
 from ..session import scratch_dir, together
 from ..sources import landing, reports, staging
 from ..sources.calendar import calendar_days
-from ..sources.warehouse import Warehouse
+from ..sources.warehouse import CommitConflict, Load, Warehouse, months_filter
 from ..streaming import ingest
 from . import steps
 from .analytics import QUERIES, preview, run_queries, weekly_pr_volume
@@ -104,16 +105,20 @@ def _windows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return repositories, marks
 
 
-def _increment(spark: SparkSession, sf_dir: str):
-    repositories, marks = _windows(spark, sf_dir)
-    window = extraction.windows(repositories, marks, EXTRACT_NOW, LOOKBACK)
-    increment = extraction.extract_increment(dict(RawRecords(spark, sf_dir)), repositories, window)
-    truncated = _named_nation(spark, sf_dir).filter("r_name = 'ASIA'").select(
+def _truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings that were cut short by the page cap."""
+    return _named_nation(spark, sf_dir).filter("r_name = 'ASIA'").select(
         F.col("n_name").alias("repository"),
         F.lit("pull_requests").alias("entity"),
         F.lit(True).alias("truncated"),
     )
-    plan = extraction.extraction_plan(repositories, window, truncated)
+
+
+def _increment(spark: SparkSession, sf_dir: str):
+    repositories, marks = _windows(spark, sf_dir)
+    window = extraction.windows(repositories, marks, EXTRACT_NOW, LOOKBACK)
+    increment = extraction.extract_increment(dict(RawRecords(spark, sf_dir)), repositories, window)
+    plan = extraction.extraction_plan(repositories, window, _truncated(spark, sf_dir))
     results = extraction.extraction_results(plan, extraction.raw_changes(increment))
     return increment, results, marks, window
 
@@ -237,6 +242,27 @@ def merged_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.merge_watermarks(marks, results, "r1", SECOND_LOAD)
 
 
+@query
+def empty_repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extraction that includes repositories without any activity: each listing counts no
+    record and leaves its mark where it is."""
+    repositories, marks = _windows(spark, sf_dir)
+    quiet = _named_nation(spark, sf_dir).filter("r_name = 'AMERICA'").select(
+        F.col("n_name").alias("repository")
+    )
+    listings = {
+        entity: df.join(quiet, "repository", "left_anti") if entity != "repositories" else df
+        for entity, df in RawRecords(spark, sf_dir).items()
+    }
+    window = extraction.windows(repositories, marks, EXTRACT_NOW, LOOKBACK)
+    increment = extraction.extract_increment(listings, repositories, window)
+    plan = extraction.extraction_plan(repositories, window, _truncated(spark, sf_dir))
+    results = extraction.extraction_results(plan, extraction.raw_changes(increment))
+    return results.join(quiet, "repository", "left_semi").select(
+        "repository", "entity", "records", "new_watermark"
+    )
+
+
 @query
 def extraction_record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.record_counts(_increment(spark, sf_dir)[1])
@@ -768,6 +794,72 @@ def constraint_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.filter("violations > 0")
 
 
+def _merged_pulls(load: Load, rows: DataFrame) -> list[date]:
+    """Merge rows of the pull request fact as a load does; the months they went to."""
+    table = "fact_pull_request"
+    rows = load.keep_incoming(table, rows)
+    months = load.touched_months(table, rows, MERGE_KEYS[table])
+    target = load.read(table).filter(months_filter(table, months))
+    load.put_months(table, star.merge_fact(table, target, rows), months, rows)
+    return months
+
+
+@query
+def load_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations that a load brings, judged by its increment and the key indexes: required
+    values, states, a second key that is taken, and references that lead nowhere."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "warehouse"))
+    pulls = BoundStar(spark, sf_dir)["fact_pull_request"].withColumn(
+        "author_key", contributor_key(_nk("author_key"))
+    )
+    first = warehouse.begin("r1")
+    _merged_pulls(first, pulls)
+    people = table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").select(
+        contributor_key(_nk("c_custkey")).alias("contributor_key"),
+        _nk("c_custkey").alias("contributor_nk"),
+    )
+    missing = [F.lit(None).alias(c) for c in WAREHOUSE["dim_contributor"] if c not in people.columns]
+    first.put("dim_contributor", people.select("*", *missing))
+    first.publish()
+    second = warehouse.begin("r2")
+    odd = pulls.filter("pull_request_key % 8 = 1").withColumns(
+        {
+            "pull_request_key": -F.col("pull_request_key"),
+            "state": F.when(F.col("title") == "1-URGENT", "merged").otherwise(F.col("state")),
+            "updated_at": F.when(F.col("title") != "5-LOW", F.col("updated_at")),
+        }
+    )
+    months = _merged_pulls(second, odd)
+    changed = second.read("fact_pull_request").filter(months_filter("fact_pull_request", months))
+    fresh = {"fact_pull_request": changed.filter("pull_request_key < 0")}
+    found = constraint_violations({}, CALENDAR, fresh, second.holders)
+    return found.filter("violations > 0")
+
+
+@query
+def load_rebase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads that begin at the same version: two of different months are both published,
+    the one of a month that is taken is refused."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "warehouse"))
+    pulls = BoundStar(spark, sf_dir)["fact_pull_request"]
+    early = F.col("created_at") < "2000-01-01"
+    parts = {"early": pulls.filter(early), "late": pulls.filter(~early), "again": pulls.filter(early)}
+    loads = {name: warehouse.begin(name) for name in parts}
+    refused = []
+    for name, rows in parts.items():
+        _merged_pulls(loads[name], rows)
+    for name, load in loads.items():
+        try:
+            load.publish()
+        except CommitConflict:
+            refused.append(name)
+    return (
+        warehouse.read("fact_pull_request")
+        .select("pull_request_key", "event_month")
+        .withColumn("refused", F.lit(",".join(refused)))
+    )
+
+
 # -------------------------------------------------------------------------- quality
 CHECK_NOW = datetime(2001, 1, 1)
 
@@ -938,6 +1030,57 @@ def stream_many_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
 
 
+@query
+def stream_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose records break their contract between two good ones, under all quality checks:
+    it fails alone."""
+    root = scratch_dir(spark, "stream")
+    settings = replace(_stream_settings(root), checks=quality.CHECKS, max_invalid_ratio=0.5)
+    raw = RawRecords(spark, sf_dir)
+    known = _named_nation(spark, sf_dir).filter("r_name <> 'AFRICA'")
+    pulls = raw["pull_requests"].join(
+        known.select(F.col("n_name").alias("repository")), "repository", "left_semi"
+    )
+    state = F.try_variant_get("data", "$.state", "string")
+    broken = pulls.withColumn("data", F.parse_json(F.lit("{}")))
+    for number, rows in enumerate((pulls.filter(state == "open"), broken, pulls.filter(state != "open"))):
+        landed = {"repositories": raw["repositories"], "pull_requests": rows}
+        _land_run(spark, settings, f"r{number}", landed, number)
+    ingest.start_ingest(spark, settings, f"{root}/checkpoint").awaitTermination()
+    warehouse = Warehouse(spark, settings.warehouse_dir)
+    return (
+        warehouse.read("pipeline_runs")
+        .select("run_id", "status", F.col("run_id").isin(list(warehouse.parked_runs())).alias("parked"))
+        .withColumn("pulls", F.lit(warehouse.read("fact_pull_request").count()))
+    )
+
+
+@query
+def stream_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extraction marks that a run leaves, loaded step by step and by the stream."""
+    repositories, marks = _windows(spark, sf_dir)
+    found = []
+    for way in ("batch", "stream"):
+        root = scratch_dir(spark, way)
+        settings = replace(_stream_settings(root), now=EXTRACT_NOW, lookback_days=LOOKBACK)
+        before = Warehouse(spark, settings.warehouse_dir).begin("r0")
+        before.put("extraction_watermarks", marks)
+        before.publish()
+        listings = dict(RawRecords(spark, sf_dir))
+        steps.extract(spark, settings, "r1", listings, repositories, _truncated(spark, sf_dir))
+        if way == "batch":
+            steps.validate(spark, settings, "r1")
+            steps.transform(spark, settings, "r1")
+            steps.load(spark, settings, "r1")
+        else:
+            ingest.start_ingest(spark, settings, f"{root}/checkpoint").awaitTermination()
+        held = Warehouse(spark, settings.warehouse_dir).read("extraction_watermarks")
+        found.append(
+            held.select(F.lit(way).alias("way"), "repository_full_name", "entity", "watermark_at")
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch replayed after its runs were published: closed once more, loaded once."""
@@ -961,18 +1104,20 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_batches(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """The events as a stream of three files, one a batch, the newest first: the rows of later
-    batches are up to years late."""
+    """The events as a stream of three parts, the newest first, each in as many files as it takes:
+    the rows of later parts are up to years late. A batch takes a bounded number of files."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     events = events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
     year = F.year("ts")
     span = events.agg(F.min(year).alias("low"), F.max(year).alias("high")).first()
     cut = (span["low"] + span["high"]) // 2
     parts = (year > cut, year <= cut, F.pmod("event_id", F.lit(2)) == 0)
+    files = 1
     for part in parts:
-        # The third file holds copies of rows of both.
-        events.filter(part).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+        # The third part holds copies of rows of both.
+        events.filter(part).write.mode("append").parquet(f"{root}/in")
+        files = max(files, events.rdd.getNumPartitions())
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files)
     return reader.parquet(f"{root}/in")
 
 
