@@ -261,18 +261,6 @@ class Codec:
         return self.decode_all(pa.array([ids], pa.list_(pa.int32())))[0].as_py()
 
 
-#: A worker's codecs, by broadcast: what they remember serves its next tasks too.
-_CODECS: dict[int, Codec] = {}
-
-
-def _codec(shared_vocabulary) -> Codec:
-    key = id(shared_vocabulary.value)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(shared_vocabulary.value)
-    return _CODECS[key]
-
-
 def _with(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     at = batch.schema.get_field_index(name)
     if at >= 0:
@@ -294,11 +282,11 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
     known = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(known)
+        codec = shared.held(known.value, Codec)
         for batch in batches:
             yield _with(batch, ids, codec.encode_all(shared.texts_of(batch, text)))
 
-    return shared.arrow_map(docs, work, _schema(docs, ids, "array<int>"))
+    return shared.arrow_map(docs, work, _schema(docs, ids, "array<int>"), holds=True)
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -306,12 +294,30 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str
     known = rows.sparkSession.sparkContext.broadcast(vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(known)
+        codec = shared.held(known.value, Codec)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
             yield _with(batch, text, codec.decode_all(column).cast(pa.string()))
 
-    return shared.arrow_map(rows, work, _schema(rows, text, "string"))
+    return shared.arrow_map(rows, work, _schema(rows, text, "string"), holds=True)
+
+
+def round_trip(
+    docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """``docs`` with ``ids`` of the whole ``text`` and what they decode to, in one pass: one Python
+    worker a task, where ``decode(encode(docs))`` takes two."""
+    known = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    both = docs.withColumns({ids: F.lit(None).cast("array<int>"), decoded: F.lit(None).cast("string")})
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = shared.held(known.value, Codec)
+        for batch in batches:
+            found = codec.encode_all(shared.texts_of(batch, text))
+            batch = _with(batch, ids, found)
+            yield _with(batch, decoded, codec.decode_all(found).cast(pa.string()))
+
+    return shared.arrow_map(both, work, both.schema, holds=True)
 
 
 def public_vocabulary(path: str | None = None) -> Vocabulary:
@@ -327,7 +333,7 @@ def op4_bpe_codec(spark, sf_dir: str) -> DataFrame:
     """Contract query: encode every document, decode the ids, digest both."""
     vocabulary = public_vocabulary()
     docs = shared.read(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = decode(encode(docs, vocabulary).drop("text"), vocabulary)
+    coded = round_trip(docs, vocabulary).drop("text")
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -122,19 +122,15 @@ class Scanner:
             self.ready = True
 
 
-#: A worker's scanner serves all its tasks; it depends on no table.
-_SCANNER: list[Scanner] = []
-
-
 def _scanned(texts: pa.Array, runs: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For texts in bounded chunks: words a text, runs a text, buckets of the runs by text."""
-    if not _SCANNER:
-        _SCANNER.append(Scanner())
+    # A worker's scanner depends on no table.
+    scanner = shared.held(Scanner, lambda make: make())
     for _, _, data, offsets in shared.chunks(texts):
         plain = _PLAIN[data].tobytes()
         ends = offsets.tolist()
         line = b" " + b" ".join(plain[a:b] for a, b in zip(ends, ends[1:])) + b" "
-        crcs, lengths, places = _SCANNER[0].payloads(line)
+        crcs, lengths, places = scanner.payloads(line)
         # Text k lies k + 1 bytes further on, after one blank for each text before it.
         first = np.searchsorted(places, offsets + np.arange(len(offsets)), "right")
         first[0], first[-1] = 0, len(places)
@@ -164,7 +160,7 @@ def bucket_counts(rows: DataFrame, text: str = "text", runs: int = 1) -> np.ndar
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["bucket", "n"])
 
-    parts = shared.arrow_map(rows.select(text), work, "bucket long, n long")
+    parts = shared.arrow_map(rows.select(text), work, "bucket long, n long", holds=True)
     out = np.zeros(BUCKETS, np.int64)
     # One row a bucket reaches the driver.
     for bucket, n in parts.groupBy("bucket").agg(F.sum("n")).collect():
@@ -198,7 +194,7 @@ def weights(docs: DataFrame, gain: np.ndarray, doc_id: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays([ids, *map(pa.array, found)], ["doc_id", "n_words", "n_features", "weight"])
 
     schema = f"doc_id {kind}, n_words long, n_features long, weight long"
-    return shared.arrow_map(docs.select(doc_id, text), work, schema)
+    return shared.arrow_map(docs.select(doc_id, text), work, schema, holds=True)
 
 
 def _noise() -> F.Column:

@@ -187,15 +187,8 @@ def public_ranks(path: str | None = None) -> tuple[dict[bytes, int], str]:
     return load_ranks(path or public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
 
 
-_SCANNERS: dict[int, Scanner] = {}
-
-
 def _scanner(known) -> Scanner:
-    key = id(known.value)
-    if key not in _SCANNERS:
-        _SCANNERS.clear()
-        _SCANNERS[key] = Scanner(*known.value)
-    return _SCANNERS[key]
+    return shared.held(known.value, lambda ranks: Scanner(*ranks))
 
 
 def scan(docs: DataFrame, ranks: tuple[dict[bytes, int], str]) -> DataFrame:
@@ -216,7 +209,7 @@ def scan(docs: DataFrame, ranks: tuple[dict[bytes, int], str]) -> DataFrame:
                 [batch.column(0), pa.array(spans, kind)], ["doc_id", "spans"]
             )
 
-    return shared.arrow_map(docs.select("doc_id", "text"), work, f"doc_id long, spans {SPANS}")
+    return shared.arrow_map(docs.select("doc_id", "text"), work, f"doc_id long, spans {SPANS}", holds=True)
 
 
 def redact(docs: DataFrame, ranks: tuple[dict[bytes, int], str], mark: str = "[SECRET]") -> DataFrame:

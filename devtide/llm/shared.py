@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -15,11 +16,13 @@ import pyarrow.compute as pc
 from pyspark import RDD
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import shared_folder, use_scratch
 
 #: Rows of an Arrow batch: a batch of long texts stays small next to a task's memory.
 BATCH_ROWS = 2000
+BATCH_BYTES = 16 << 20
 #: Bytes of text that the vectorised helpers take at once (a longer text is taken alone).
 CHUNK_BYTES = 2 << 20
 #: Applications that have the package.
@@ -27,9 +30,10 @@ _SHIPPED: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Keep Arrow batches small, as text columns can hold very long values, and send this
-    package to the executors once."""
+    """Keep Arrow batches small in rows and bytes, as text columns can hold very long values, and
+    send this package to the executors once. The two settings stay in the session."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         _SHIPPED.add(app)
@@ -84,7 +88,9 @@ def fold(doc_id: str, folds: int) -> F.Column:
 
 def tree_sum(parts: DataFrame, column: str, dtype: str, length: int) -> np.ndarray:
     """The sum of equally long arrays, one per task, added in a tree. ``length`` bounds what
-    reaches the driver, however many rows there are."""
+    reaches the driver, however many rows there are. The arrays are written first: a task that made
+    and added them at once would need two Python workers, and executors keep all they ever had."""
+    parts = stored(parts.select(column), "parts")
     rdd: RDD = parts.select(column).rdd.map(lambda r: np.frombuffer(r[0], dtype).copy())
     return rdd.treeAggregate(np.zeros(length, dtype), np.add, np.add)
 
@@ -183,8 +189,32 @@ def hash_word(word: str) -> int:
     return int(word_hashes(data, np.array([0, len(data)]), kind)[0][0])
 
 
+#: What a Python worker keeps from task to task, by what it was made from: one thing at a time.
+_HELD: dict[int, Any] = {}
+
+
+def held(source: Any, make: Callable[[Any], Any]) -> Any:
+    """The worker's own ``make(source)``, which serves its next tasks too. Whatever else it held
+    is dropped, so that a worker that is used again for another stage holds that one's only."""
+    key = id(source)
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make(source)
+    return _HELD[key]
+
+
 def arrow_map(
-    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame,
+    work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str | StructType,
+    holds: bool = False,
 ) -> DataFrame:
+    """``mapInArrow`` of this package's functions; those that use ``held`` say so."""
     prepare(df.sparkSession)
-    return df.mapInArrow(work, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not holds:
+            _HELD.clear()
+        yield from work(batches)
+
+    return df.mapInArrow(run, schema)

@@ -231,18 +231,6 @@ def _total(packed: bytes) -> int:
     return int(np.frombuffer(packed, np.int8 if packed[0] == 1 else "<i4", offset=1).sum(dtype=np.int64))
 
 
-#: A worker's counter, by broadcast: what it remembers serves its next tasks too.
-_COUNTERS: dict[int, PrefixCounts] = {}
-
-
-def _counter(known) -> PrefixCounts:
-    key = id(known.value)
-    if key not in _COUNTERS:
-        _COUNTERS.clear()
-        _COUNTERS[key] = PrefixCounts(known.value)
-    return _COUNTERS[key]
-
-
 def _added(df: DataFrame, new: dict[str, str]) -> tuple[list[str], str]:
     kept = [f for f in df.schema if f.name not in new]
     fields = [(f.name, f.dataType.simpleString()) for f in kept] + list(new.items())
@@ -256,7 +244,7 @@ def prefix_counts(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -
     kept, schema = _added(docs, {"n_tokens": "bigint", "prefix_tokens": "binary"})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(known)
+        counter = shared.held(known.value, PrefixCounts)
         for batch in batches:
             texts, packed = shared.texts_of(batch, text), []
             for first, end, _, _ in shared.chunks(texts):
@@ -265,7 +253,7 @@ def prefix_counts(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -
             found = [*batch.select(kept).columns, sizes, pa.array(packed, pa.binary())]
             yield pa.RecordBatch.from_arrays(found, [*kept, "n_tokens", "prefix_tokens"])
 
-    return shared.arrow_map(docs, work, schema)
+    return shared.arrow_map(docs, work, schema, holds=True)
 
 
 def truncations(rows: DataFrame, budget: int, packed: str = "prefix_tokens") -> DataFrame:
