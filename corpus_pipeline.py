@@ -38,7 +38,7 @@ def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text, and whether they decode to it."""
     vocabulary = bpe.public_vocabulary()
-    coded = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
+    coded = bpe.round_trip(docs, vocabulary)
     return coded.select(
         "doc_id",
         "lang",
