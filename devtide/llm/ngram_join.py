@@ -448,15 +448,12 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return shared.arrow_map(ordered, _linked, "a long, b long")
 
 
-def _crossing(
-    batches: Iterator[pa.RecordBatch], nearest: bool, members: bool
-) -> Iterator[pa.RecordBatch]:
+def _crossing(batches: Iterator[pa.RecordBatch], nearest: bool) -> Iterator[pa.RecordBatch]:
     """Pairs of a run from two components that pass the bound on sizes and bitmaps; if
-    ``nearest``, for each member only the one with the fewest bits in difference (of those that
-    are compared at once). A run with such a pair gives a row with its ``sig`` too, and,
-    if ``members``, each member of any such pair a row of its own (``b`` is null)."""
+    ``nearest``, for each member that has any only the one with the fewest bits in difference, so
+    that a run gives no more pairs than it has members, and each of these is in one. A run with
+    such a pair gives a row with its ``sig`` too."""
     seen: set[int] = set()
-    told: set[int] = set()
     for rows in _whole_runs(batches, ["sig", "n", "node", "component", "bits"]):
         edges = np.flatnonzero(np.diff(rows["sig"])) + 1
         bounds = [0, *edges.tolist(), len(rows["sig"])]
@@ -464,32 +461,46 @@ def _crossing(
             node, group = rows["node"][begin:end], rows["component"][begin:end]
             if (group == group[0]).all():
                 continue
-            bits = rows["bits"][begin:end].to_pylist()
-            found: list[np.ndarray] = []
-            touched = np.zeros(end - begin, bool)
-            for i, others, differ in _apart_but_near(
-                rows["n"][begin:end].astype(np.int64), group, bits
-            ):
-                touched[i] = touched[others] = True
-                if nearest:
-                    others = others[[int(np.argmin(differ))]]
-                found.append(np.stack([np.full(len(others), node[i]), node[others]]))
-            if found:
-                pairs = np.concatenate(found, axis=1)
-                marks = shared.mix(pairs[0].view(np.uint64) * _M[40] + pairs[1].view(np.uint64))
-                new = np.array([m not in seen for m in marks.tolist()])
-                seen.update(marks[new].tolist() if len(seen) < _SEEN else [])
-                once = [x for x in node[touched].tolist() if x not in told] if members else []
-                told.update(once)
-                pairs, more = pairs[:, new].tolist(), [None] * len(once)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([*pairs[0], *once, None], pa.int64()),
-                        pa.array([*pairs[1], *more, None], pa.int64()),
-                        pa.array([*[None] * len(pairs[0]), *more, int(rows["sig"][begin])], pa.int64()),
-                    ],
-                    ["a", "b", "sig"],
-                )
+            near = _apart_but_near(
+                rows["n"][begin:end].astype(np.int64), group, rows["bits"][begin:end].to_pylist()
+            )
+            pairs = _nearest_pairs(near, end - begin) if nearest else _all_pairs(near)
+            if not pairs.shape[1]:
+                continue
+            pairs = node[pairs]
+            marks = shared.mix(pairs[0].view(np.uint64) * _M[40] + pairs[1].view(np.uint64))
+            new = np.array([m not in seen for m in marks.tolist()])
+            seen.update(marks[new].tolist() if len(seen) < _SEEN else [])
+            pairs = pairs[:, new].tolist()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([*pairs[0], None], pa.int64()),
+                    pa.array([*pairs[1], None], pa.int64()),
+                    pa.array([*[None] * len(pairs[0]), int(rows["sig"][begin])], pa.int64()),
+                ],
+                ["a", "b", "sig"],
+            )
+
+
+def _nearest_pairs(near: Iterator[tuple[int, np.ndarray, np.ndarray]], members: int) -> np.ndarray:
+    """Each member with the one that it differs from least, looking both ways; every pair once."""
+    least = np.full(members, np.iinfo(np.int64).max)
+    other = np.full(members, -1)
+    for i, others, differ in near:
+        differ = differ.astype(np.int64)
+        k = int(np.argmin(differ))
+        if differ[k] < least[i]:
+            least[i], other[i] = differ[k], others[k]
+        closer = differ < least[others]
+        least[others[closer]], other[others[closer]] = differ[closer], i
+    own = np.flatnonzero(other >= 0)
+    ends = np.stack([np.minimum(own, other[own]), np.maximum(own, other[own])])
+    return np.unique(ends, axis=1)
+
+
+def _all_pairs(near: Iterator[tuple[int, np.ndarray, np.ndarray]]) -> np.ndarray:
+    found = [np.stack([np.full(len(others), i), others]) for i, others, _ in near]
+    return np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
 
 
 def _apart_but_near(
@@ -610,13 +621,14 @@ def owners(docs: DataFrame, found: DataFrame, frequent: np.ndarray) -> DataFrame
     # some member stands apart from its hub, or a hub from the one before.
     live = _open_runs(large, _apart(steps, owner))
     for number, nearest in enumerate((*[True] * NEAREST_ROUNDS, False)):
-        crossed = shared.stored(_between(large, live, owner, bits, nearest, not number), "crossed")
+        crossed = shared.stored(_between(large, live, owner, bits, nearest), "crossed")
         # Runs in which the bound leaves nothing are done with.
         live = crossed.filter("sig is not null").select("sig").distinct()
         if not number:
             # All later pairs are among the members that have any pair now.
-            members = crossed.filter("sig is null and b is null").select(F.col("a").alias("node"))
-            members = members.distinct().join(sets.select("node"), "node", "left_anti")
+            paired = crossed.filter("sig is null")
+            members = paired.select(F.col("a").alias("node")).union(paired.select("b")).distinct()
+            members = members.join(sets.select("node"), "node", "left_anti")
             sets = sets.union(sets_for(shared.stored(members, "members")))
         rest = _apart(near, owner).select(F.col("hub").alias("a"), F.col("node").alias("b"))
         rest = rest.union(crossed.filter("b is not null").select("a", "b")).distinct()
@@ -648,7 +660,6 @@ def _between(
     owner: DataFrame,
     bits: DataFrame,
     nearest: bool,
-    members: bool,
 ) -> DataFrame:
     """Pairs across components within the larger runs ``live``, and the runs that have some."""
     rows = (
@@ -663,7 +674,7 @@ def _between(
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _crossing(batches, nearest, members)
+        return _crossing(batches, nearest)
 
     return shared.arrow_map(rows, work, "a long, b long, sig long")
 
