@@ -1125,20 +1125,11 @@ def _event_batches(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
 def stream_drop_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in three batches, half of them twice and all out of order, kept once."""
     root = scratch_dir(spark, "overlap")
-
-    def save(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/out/batch={number}")
-
-    (
-        ingest.drop_overlap(_event_batches(spark, sf_dir, root), ["event_id"])
-        .writeStream.foreachBatch(save)
-        .outputMode("append")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.parquet(f"{root}/out").select("event_id", "user_id")
+    stream = _event_batches(spark, sf_dir, root)
+    ingest.append_new_keys(
+        stream, ["event_id"], f"{root}/out", f"{root}/checkpoint"
+    ).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/out/batch=*").select("event_id", "user_id")
 
 
 @query
@@ -1147,6 +1138,6 @@ def stream_weekly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "weekly")
     stream = _event_batches(spark, sf_dir, root)
     ingest.append_weekly_counts(
-        stream, "ts", f"{root}/out", f"{root}/checkpoint"
+        stream, "ts", f"{root}/out", f"{root}/checkpoint", fold_after=2
     ).awaitTermination()
     return ingest.weekly_totals(spark, f"{root}/out")
