@@ -35,20 +35,28 @@ def _running(partition: Sequence[str]) -> Column:
 
 
 def value_counts(
-    rows: DataFrame, keys: Sequence[str], value: str, shifts: Sequence[int]
+    rows: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    shifts: Sequence[int],
+    sums: Sequence[str] | None = None,
 ) -> DataFrame:
     """Occurrences ``n`` of every value per group, with the prefixes of the value.
 
     ``shifts`` are the bit positions at which a value is cut into digits, most
     significant first: ``(34, 17)`` makes three digits. NULL keys and values are
     dropped here, once, so that every later use reads the same shuffle.
+
+    With ``sums`` these columns are added up in the same shuffle, and rows without a value
+    stay, as one value of their own; ``exact_percentiles`` passes over them.
     """
     prefixes = [f"_p{i}" for i in range(len(shifts))]
     cut = {p: F.shiftright(value, shift) for p, shift in zip(prefixes, shifts, strict=True)}
     columns = [*keys, value, *prefixes]
-    known = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in (columns if sums is None else keys))
+    added = [F.sum(c).alias(c) for c in sums or ()]
     return (
-        rows.withColumns(cut).filter(known).groupBy(*columns).agg(F.count("*").alias("n"))
+        rows.withColumns(cut).filter(known).groupBy(*columns).agg(F.count("*").alias("n"), *added)
     )
 
 
@@ -60,6 +68,7 @@ def exact_percentiles(
     ``counts`` comes from ``value_counts``.
     """
     keys = list(keys)
+    counts = counts.filter(F.col(value).isNotNull())
     digits = [c for c in counts.columns if c.startswith("_p")] + [value]
     histogram = counts.groupBy(*keys, F.col(digits[0]).alias("_digit")).agg(F.sum("n").alias("_n"))
     total = F.sum("_n").over(Window.partitionBy(*keys))

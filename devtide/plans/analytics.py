@@ -150,42 +150,42 @@ def avg_time_to_merge_trend(star: Star, as_of: date) -> DataFrame:
 def review_activity(star: Star, as_of: date) -> DataFrame:
     """Review coverage, mix and time to the first review per repository.
 
-    The only join between facts is on the pull request key, unique on both sides; its
-    result is counted by (repository, delay). What needs no join is counted from one
-    fact alone: the repository of a review is that of its pull request.
+    Each fact is read once: reviews are reduced to one row a pull request, which is joined to
+    its pull request, unique on both sides, and counted by (repository, delay). The sums of a
+    repository and its median come from these counts. The repository of a review is that of its
+    pull request.
     """
-    pulls = star["fact_pull_request"]
-    prs = pulls.groupBy("repository_key").agg(F.count("*").alias("prs"))
-    mix = (
+    state = F.col("review_state")
+    reviews = (
         star["fact_review"]
-        .groupBy("repository_key")
+        .groupBy("pull_request_key")
         .agg(
             F.count("*").alias("total_reviews"),
-            F.count_if(F.col("review_state") == "APPROVED").alias("approvals"),
-            F.count_if(F.col("review_state") == "CHANGES_REQUESTED").alias("change_requests"),
+            F.count_if(state == "APPROVED").alias("approvals"),
+            F.count_if(state == "CHANGES_REQUESTED").alias("change_requests"),
+            F.min("submitted_at").alias("first_review_at"),
         )
     )
-    first = (
-        star["fact_review"]
-        .groupBy("pull_request_key")
-        .agg(F.min("submitted_at").alias("first_review_at"))
-    )
+    mix = ["total_reviews", "approvals", "change_requests"]
     delay = micros_between(F.col("created_at"), F.col("first_review_at"))
     waited = (
-        pulls.select("pull_request_key", "repository_key", "created_at")
-        .join(first, "pull_request_key")
-        .select("repository_key", delay.alias("value"))
+        star["fact_pull_request"]
+        .select("pull_request_key", "repository_key", "created_at")
+        .join(reviews, "pull_request_key", "left")
+        .select("repository_key", *mix, delay.alias("value"))
+    )
+    counts = value_counts(waited, ["repository_key"], "value", (34, 17), mix)
+    totals = counts.groupBy("repository_key").agg(
+        F.sum("n").alias("prs"),
+        F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).alias("prs_reviewed"),
+        *[F.sum(c).alias(c) for c in mix],
     )
-    counts = value_counts(waited, ["repository_key"], "value", (34, 17))
-    reviewed = counts.groupBy("repository_key").agg(F.sum("n").alias("prs_reviewed"))
     median = exact_percentiles(counts, ["repository_key"], "value", {"p50": 0.5})
     percent = (_zero("prs_reviewed") * 100).cast("decimal(28,10)") / F.col("prs").cast(
         "decimal(20,0)"
     )
     return (
-        prs.join(mix, "repository_key", "left")
-        .join(reviewed, "repository_key", "left")
-        .join(median, "repository_key", "left")
+        totals.join(median, "repository_key", "left")
         .join(_repository_names(star), "repository_key")
         .select(
             "repository",
