@@ -54,8 +54,30 @@ END = int(shared.mix(np.array([0xE0D], np.uint64))[0])
 _GATHERED = 800_000
 
 
+#: Tokens that are looked up together; a longer text's are all its own.
+_TOGETHER = 1 << 20
+
+
 def tokens_of(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """First row, hashes of all tokens, row (from there) of each."""
+    """First row, hashes of all tokens, row (from there) of each, for runs of texts of about
+    ``_TOGETHER`` tokens: each file of the trie is asked once for such a run."""
+    held: list[tuple[int, np.ndarray, np.ndarray]] = []
+    for first, out, owner in _tokens_of_chunks(texts):
+        if held and sum(len(x[1]) for x in held) + len(out) > _TOGETHER:
+            yield _together(held)
+            held = []
+        held.append((first, out, owner))
+    if held:
+        yield _together(held)
+
+
+def _together(held: list[tuple[int, np.ndarray, np.ndarray]]) -> tuple[int, np.ndarray, np.ndarray]:
+    start = held[0][0]
+    rows = np.concatenate([owner + (first - start) for first, _, owner in held])
+    return start, np.concatenate([out for _, out, _ in held]), rows
+
+
+def _tokens_of_chunks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     end = np.array([END], np.uint64)
     for first, _, data, offsets in shared.chunks(texts):
         words, begin, _, _ = shared.word_hashes(data, offsets)
