@@ -312,7 +312,8 @@ def indexes(benchmark: DataFrame, items: int = ITEMS) -> Iterator[Index]:
             w % 2**64: float(np.log(1 + (total - df + 0.5) / (df + 0.5)))
             for w, df in counts.join(own, "word").select("word", "df").collect()
         }
-        found = sorted(rows.filter(part & F.col("item_id").isNotNull()).collect())
+        found = rows.filter(part & F.col("item_id").isNotNull()).collect()
+        found = sorted(found, key=lambda r: (r["item_id"], r["text"] is not None, r["text"] or ""))
         yield make_index([(r["item_id"], r["text"]) for r in found], weights, mean)
 
 

@@ -144,16 +144,25 @@ def within(rejected: int, total: int, risk: float, error: float) -> bool:
     binomial with that share."""
     if total == 0 or rejected >= total:
         return False
-    terms = [
+    if rejected >= total * risk and error < 0.5:
+        # No less than the median was seen: the chance of that many or fewer is a half at least.
+        return False
+    largest = (
         math.lgamma(total + 1)
-        - math.lgamma(k + 1)
-        - math.lgamma(total - k + 1)
-        + k * math.log(risk)
-        + (total - k) * math.log1p(-risk)
-        for k in range(rejected + 1)
-    ]
-    top = max(terms)
-    return top + math.log(sum(math.exp(t - top) for t in terms)) <= math.log(error)
+        - math.lgamma(rejected + 1)
+        - math.lgamma(total - rejected + 1)
+        + rejected * math.log(risk)
+        + (total - rejected) * math.log1p(-risk)
+    )
+    # Below the mean each term is a smaller share of the one above it: from the largest one down,
+    # until the rest no longer matters. That takes a few standard deviations of steps.
+    whole = term = 1.0
+    for k in range(rejected, 0, -1):
+        term *= k * (1 - risk) / ((total - k + 1) * risk)
+        whole += term
+        if k < total * risk and term < 1e-17 * whole:
+            break
+    return largest + math.log(whole) <= math.log(error)
 
 
 def cutoffs(found: DataFrame, labels: DataFrame) -> dict[str, dict[str, float]]:

@@ -130,3 +130,15 @@ def test_the_bound_lets_every_passage_through_that_scores():
 )
 def test_question_and_answer(text, answer):
     assert text[decontamination.question_end(text) :] == answer
+
+
+def test_an_item_id_with_and_without_text(spark):
+    items = [(1, None), (1, "lo ka mi tu ren sol va di"), (1, None), (2, ""), (None, "ka lo")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    leaked = "x " * 30 + "lo ka mi tu ren sol va di " + "y " * 30
+    docs = corpus.documents(spark, [*corpus.edge_rows(), (77, leaked, "aa", "s", len(leaked))])
+    found = [
+        sorted((r.doc_id, r.item_id) for r in decontamination.leaks(docs, rows).collect())
+        for rows in (bench, bench.filter("item_id = 1 and text is not null"))
+    ]
+    assert found[0] == found[1]

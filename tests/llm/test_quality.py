@@ -1,4 +1,5 @@
 import math
+import time
 import random
 import re
 
@@ -96,3 +97,18 @@ def test_empty_tables(spark):
     assert quality.keep_good(docs, labels).collect() == []
     got = quality.keep_good(corpus.documents(spark, rows()[0][:60]), labels).collect()
     assert all(r["kept"] for r in got)
+
+
+def test_the_bound_takes_few_steps():
+    """A billion labels, with the cutoff's share close to the risk; and small cases term by term."""
+    began = time.perf_counter()
+    assert quality.within(9_900_000, 10**9, 0.01, 1e-6)
+    assert not quality.within(9_999_999, 10**9, 0.01, 1e-6)
+    assert not quality.within(900_000_000, 10**9, 0.01, 1e-6)
+    assert time.perf_counter() - began < 2
+    for n in (1, 7, 40):
+        for k in range(n):
+            for p in (0.02, 0.3):
+                tail = sum(math.comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1))
+                for error in (0.9, 0.2, 1e-3, 1e-9):
+                    assert quality.within(k, n, p, error) == (tail <= error)
