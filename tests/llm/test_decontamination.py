@@ -138,7 +138,7 @@ def test_an_item_id_with_and_without_text(spark):
     leaked = "x " * 30 + "lo ka mi tu ren sol va di " + "y " * 30
     docs = corpus.documents(spark, [*corpus.edge_rows(), (77, leaked, "aa", "s", len(leaked))])
     found = [
-        sorted((r.doc_id, r.item_id) for r in decontamination.leaks(docs, rows).collect())
-        for rows in (bench, bench.filter("item_id = 1 and text is not null"))
+        sorted(((r.doc_id, r.item_id) for r in decontamination.leaks(docs, rows).collect()), key=repr)
+        for rows in (bench, bench.filter("text is not null"))
     ]
-    assert found[0] == found[1]
+    assert found[0] == found[1] and found[0]
