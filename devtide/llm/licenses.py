@@ -27,6 +27,8 @@ SHIFT = 4
 #: Part of a template's windows that a span must hold, and how much longer than the template
 #: it may be.
 LEAST, LONGEST = 0.75, 1.5
+#: Words of a block in which overlapping spans meet.
+BLOCK = 256
 
 # Phrases (label, words) of the contract, and public license notices
 # (label, family, text).
@@ -200,18 +202,39 @@ def spans_of(hits: DataFrame) -> DataFrame:
         .filter(F.col("share") >= LEAST)
         .filter(F.col("end") - F.col("start") <= LONGEST * (F.col("windows") + GRAM - 1))
     )
-    other = merged.select(
-        *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "mark", "family", "start", "end", "share")]
+    return fullest(shared.stored(merged, "spans"))
+
+
+def fullest(merged: DataFrame) -> DataFrame:
+    """The spans that no fuller one of their family overlaps."""
+    # Two spans that overlap share the block in which the later one begins; a span covers few blocks,
+    # and a block holds as many spans as there are templates and places in it, however many a
+    # document has.
+    covered = F.explode(F.sequence(F.floor(F.col("start") / BLOCK), F.floor((F.col("end") - 1) / BLOCK)))
+    names = ["doc_id", "mark", "template", "label", "family", "span", "start", "end", "share"]
+    placed = merged.select(*names, covered.alias("block"))
+    other = placed.select(
+        *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "mark", "family", "start", "end", "share", "block")]
     )
     fuller = (
         F.col("doc_id").eqNullSafe(F.col("o_doc_id"))
         & (F.col("mark") == F.col("o_mark"))
         & (F.col("family") == F.col("o_family"))
+        & (F.col("block") == F.col("o_block"))
         & (F.col("o_start") < F.col("end"))
         & (F.col("start") < F.col("o_end"))
         & (F.col("o_share") > F.col("share"))
     )
-    return merged.join(other, fuller, "left_anti").select(
+    beaten = placed.join(other, fuller, "left_semi").select(
+        *[F.col(c).alias(f"b_{c}") for c in ("doc_id", "mark", "template", "span")]
+    )
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("b_doc_id"))
+        & (F.col("mark") == F.col("b_mark"))
+        & (F.col("template") == F.col("b_template"))
+        & (F.col("span") == F.col("b_span"))
+    )
+    return merged.join(beaten.distinct(), same, "left_anti").select(
         "doc_id", "mark", "label", "family", "start", "end", "share"
     )
 

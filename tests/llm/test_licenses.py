@@ -77,3 +77,21 @@ def test_main_path_is_native(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     folder = corpus.save(corpus.documents(spark, []), tmp_path)
     assert licenses.op7_license_scan(spark, folder).collect() == []
+
+
+def test_many_overlapping_spans_meet_in_blocks(spark):
+    """The fuller of two overlapping spans stays, wherever they lie, compared with all pairs."""
+    rng, rows = random.Random(6), []
+    for doc in (1, None):
+        for k in range(400):
+            start = rng.randint(0, 4000)
+            end = start + rng.choice([5, 30, 300, 700])
+            rows.append((doc, 5, f"t{k % 3}", "x", f"f{k % 2}", k, start, end, rng.randint(75, 100) / 100))
+    schema = "doc_id long, mark long, template string, label string, family string, span long, start int, end int, share double"
+    got = licenses.fullest(spark.createDataFrame(rows, schema))
+    want = [
+        (x[0], x[1], x[3], x[4], *x[6:])
+        for x in rows
+        if not any(y[0] == x[0] and y[4] == x[4] and y[6] < x[7] and x[6] < y[7] and y[8] > x[8] for y in rows)
+    ]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
