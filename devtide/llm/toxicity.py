@@ -2,8 +2,9 @@
 
 Words that look disguised (letters replaced by digits or signs, letters drawn out, letters set
 apart by blanks or dots) become lattices: each sign may stand for itself or for letters it
-resembles, a run for one letter or two, a separator for nothing. A Viterbi search under a
-character trigram model finds the likeliest letters. Words and their beginnings that toxic
+resembles, a run for one letter or two; the separators of letters that stand alone are left out
+before. A Viterbi search over all states of a character trigram model, which is counted over all
+given documents, finds the likeliest letters of a word of any length. Words and their beginnings that toxic
 training documents hold far more often than others are the evidence; a logistic model of the
 evidence in the plain and the restored words gives the score.
 
@@ -46,11 +47,12 @@ LOOKALIKES = {
 }
 #: Log costs of the channel: a letter for a sign, a drawn-out letter, a sign left as it is.
 _SWAP, _DRAWN, _LITERAL = -1.0, -1.5, -6.0
-#: Longest disguised word that is searched, in signs without repeats; longer ones are no words.
-LONGEST = 32
 _REMEMBERED = 50_000
-#: Likeliest beginnings that the search follows.
-_BEAM = 64
+#: Longest disguised word whose letters are remembered.
+_SHORT = 40
+#: Trigrams of the letter model, the most frequent ones of all documents; others are backed off to
+#: pairs, as unseen ones are. An alphabet of hundreds of letters has fewer.
+TRIGRAMS = 1 << 18
 
 _SIGNS = re.escape("".join(LOOKALIKES))
 _LETTER = "a-zA-ZÀ-ɏ"
@@ -61,7 +63,7 @@ _DISGUISED = re.compile(
 )
 _SPACED = re.compile(
     rf"(?<![{_LETTER}{_SIGNS}])[{_LETTER}{_SIGNS}]"
-    rf"(?:[ ._\-*][{_LETTER}{_SIGNS}]){{2,{LONGEST + 1}}}(?![{_LETTER}{_SIGNS}])"
+    rf"(?:[ ._\-*][{_LETTER}{_SIGNS}]){{2,}}(?![{_LETTER}{_SIGNS}])"
 )
 _REPEATED = re.compile(r"(.)\1{3,}", re.DOTALL)
 _SIGN_BYTE = np.zeros(256, bool)
@@ -98,11 +100,9 @@ class Restorer:
 
     def word(self, shown: str) -> str:
         # Three equal signs stand for any more.
-        given, shown = shown, _REPEATED.sub(r"\1\1\1", shown.lower())
+        shown = _REPEATED.sub(r"\1\1\1", shown.lower())
         if shown in self.known:
             return self.known[shown]
-        if sum(1 for _ in re.finditer(r"(.)\1*", shown, re.DOTALL)) > LONGEST:
-            return given
         # Lattice edges: for each run of one sign, what it may stand for and its cost.
         edges = []
         for run in re.finditer(r"(.)\1*", shown, re.DOTALL):
@@ -117,22 +117,32 @@ class Restorer:
                     for copies in (1, 2)
                 ]
             edges.append(options)
-        best: dict[str, tuple[float, str]] = {"^^": (0.0, "")}
+        # A state is the last two letters: all states are followed, and each keeps the way that it
+        # was reached best, so that a word of any length takes linear time.
+        best: dict[str, float] = {"^^": 0.0}
+        ways: list[dict[str, tuple[str, str]]] = []
         for options in [*edges, [("$", 0.0)]]:
-            reached: dict[str, tuple[float, str]] = {}
-            for before, (score, path) in best.items():
+            reached: dict[str, float] = {}
+            way: dict[str, tuple[str, str]] = {}
+            for before, score in best.items():
                 for letters, cost in options:
                     state, total = before, score + cost
                     for letter in letters:
                         total += self._next(state, letter)
                         state = state[1] + letter
-                    if state not in reached or total > reached[state][0]:
-                        reached[state] = (total, path + letters)
-            best = dict(sorted(reached.items(), key=lambda s: (-s[1][0], s[0]))[:_BEAM])
-        found = max(best.values(), key=lambda s: (s[0], s[1]))[1][:-1]
-        if len(self.known) >= _REMEMBERED:
-            self.known.clear()
-        self.known[shown] = found
+                    if state not in reached or (total, before, letters) > (reached[state], *way[state]):
+                        reached[state], way[state] = total, (before, letters)
+            best = reached
+            ways.append(way)
+        state, parts = max(best, key=lambda s: (best[s], s)), []
+        for way in reversed(ways):
+            state, letters = way[state]
+            parts.append(letters)
+        found = "".join(reversed(parts[1:]))
+        if len(shown) <= _SHORT:
+            if len(self.known) >= _REMEMBERED:
+                self.known.clear()
+            self.known[shown] = found
         return found
 
     def restored(self, text: str) -> list[str]:
@@ -356,12 +366,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         .collect()
     )
     letters = (
-        shared.arrow_map(sample.select("text"), _letter_counts, "letters string, n long")
+        shared.arrow_map(docs.select("text"), _letter_counts, "letters string, n long")
         .groupBy("letters")
         .agg(F.sum("n").alias("n"))
-        .filter("n > 1")
         .orderBy(F.desc("n"), "letters")
-        .limit(100_000)
+        .limit(TRIGRAMS)
         .collect()
     )
     order = sorted((r["feature"] % 2**64, r["weight"]) for r in features)

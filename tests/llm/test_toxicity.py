@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -115,7 +116,8 @@ def test_long_runs_two_byte_letters_and_mixed_gaps(model):
     long = "gr" + "o" * 60 + "mpel"
     assert restorer.restored(long) == restorer.restored("grooompel") == ["grompel"]
     assert restorer.restored("a s s") and restorer.restored("v.i-l k a s_h") == ["vilkash"]
-    assert restorer.restored("ab" * 30 + "ccc") in ([], ["ab" * 30 + "ccc"])
+    # Words of any length are searched.
+    assert restorer.restored("ab" * 30 + "ccc")[0] in ("ab" * 30 + "c", "ab" * 30 + "cc")
     texts = [long, "blööööd", "ééé", "x ééé", "é1", "a s s", "ö.s-s", "v.i-l k a s_h", "no. a s s", "ab", "a b"]
     for value in texts:
         # Alone, and between other texts that end and begin with letters.
@@ -124,3 +126,19 @@ def test_long_runs_two_byte_letters_and_mixed_gaps(model):
         assert not flags[0] and not flags[2]
     flags = toxicity.suspects(pa.array(texts, pa.large_string())).tolist()
     assert flags == [True] * 9 + [False] * 2
+
+
+def test_long_disguised_words_are_searched_in_linear_time():
+    rng = random.Random(2)
+    plain = "".join(rng.choices("stupidmoran", k=400))
+    trigrams = {}
+    shown = f"^^{plain}$"
+    for k in range(len(shown) - 2):
+        trigrams[shown[k : k + 3]] = -0.1
+    restorer = toxicity.Restorer(trigrams, {})
+    swaps = {"s": "$", "i": "!", "o": "0", "a": "@"}
+    assert restorer.word("".join(swaps.get(c, c) for c in plain)) == plain
+    assert restorer.restored(" ".join(plain[:60])) == [plain[:60]]
+    began = time.perf_counter()
+    restorer.word("".join(rng.choices("abcdefghij0123456789", k=20_000)))
+    assert time.perf_counter() - began < 30
