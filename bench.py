@@ -86,9 +86,8 @@ def main() -> None:
         target = change.read("fact_pull_request").filter(
             months_filter("fact_pull_request", touched)
         )
-        change.put_months(
-            "fact_pull_request", star.merge_fact("fact_pull_request", target, rows), touched
-        )
+        merged = star.merge_fact("fact_pull_request", target, rows)
+        change.put_months("fact_pull_request", merged, touched, rows)
 
     times["load.merge_recent_months"] = median(merge)
     spark.stop()
