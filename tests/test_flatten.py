@@ -3,6 +3,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from devtide.functions.payload import opened
+from devtide.sources.staging import read_classified, write_classified
 from devtide.functions.text import headline
 from devtide.operators import flatten
 from devtide.schemas import ENTITIES
@@ -140,3 +142,37 @@ def test_headline(spark, text, expected):
     assert row[0] == expected
     if text:
         assert expected == text.splitlines()[0][:250]
+
+
+def test_a_payload_is_opened_as_path_by_path(spark):
+    payloads = [
+        '{"a": 1, "b": {"c": "x", "d": null}, "e": "7"}',
+        '{"a": "1", "b": null}',
+        '{"b": [1], "a": 1.0, "e": {"f": 1}}',
+        "[]",
+        "null",
+    ]
+    rows = spark.createDataFrame([(p,) for p in payloads], "text string").select(
+        F.parse_json("text").alias("data")
+    )
+    wanted = {"a": "bigint", "b.c": "string", "b.d": "variant", "e": "string"}
+    for paths in (wanted, wanted | {"x.y.z": "string"}):
+        got = rows.withColumn("o", opened(F.col("data"), paths)).select(
+            *[
+                F.try_variant_get("data", f"$.{p}", kind).cast("string").eqNullSafe(
+                    F.col(f"o.{p}").cast("string")
+                )
+                & F.try_variant_get("data", f"$.{p}", kind).isNull().eqNullSafe(F.col(f"o.{p}").isNull())
+                for p, kind in paths.items()
+            ]
+        )
+        assert all(all(row) for row in got.collect())
+
+
+def test_valid_and_invalid_records_share_their_files(spark, tmp_path):
+    root = str(tmp_path)
+    write_classified(s.listing(spark, [*s.COMMITS, {}]).coalesce(1), root, "r", "commits")
+    assert len(list(tmp_path.rglob("*.parquet"))) == 1
+    rows = read_classified(spark, root, "r", "commits").select("ok", "problems").collect()
+    assert [r.ok for r in rows] == [True] * len(s.COMMITS) + [False]
+    assert all(r.ok == (not r.problems) for r in rows)
