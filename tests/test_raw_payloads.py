@@ -67,3 +67,18 @@ def test_an_object_below_is_looked_at_once(spark):
     assert values.collect() == apart.collect()
     # Not by the path of each value.
     assert "$.a.b" in plan_of(found) and "$.a.b.c" not in plan_of(found)
+
+
+def test_commits_are_dealt_out_before_their_payloads_are_built(spark, tmp_path):
+    from devtide.plans.raw_binding import raw_commits
+
+    layouts = {
+        "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+        "value double, props string",
+        "nation": "n_nationkey int, n_name string, n_regionkey int",
+    }
+    for name, layout in layouts.items():
+        spark.createDataFrame([], layout).write.parquet(str(tmp_path / f"{name}.parquet"))
+    plan = plan_of(raw_commits(spark, str(tmp_path)))
+    built, dealt = plan.index("to_variant_object"), plan.index("Exchange hashpartitioning(seq")
+    assert built < dealt < plan.index("FileScan")
