@@ -48,6 +48,11 @@ SKETCH = 1 << 18
 FREQUENT = 64
 #: Bits of the filter that keeps sets of nodes without a partner from being moved.
 FILTER_BITS = 1 << 23
+#: Cells of a parity bitmap for each shingle, at least. Bitmaps are moved once for each row of a
+#: larger run, so their length is most of what the join shuffles.
+CELLS = 2
+#: Bits of the filter of ids for each id, and at most (8 MB go to every task).
+ID_BITS, MOST_ID_BITS = 16, 1 << 26
 #: Members that are verified against one copy of their hub's set.
 SHARE = 512
 #: Runs up to this size give all their pairs at once.
@@ -97,9 +102,9 @@ def node_of(tokens: np.ndarray) -> int:
 
 
 def _parity(tokens: np.ndarray) -> bytes:
-    """One bit per cell: whether an odd number of shingles falls into it. Four cells for each
+    """One bit per cell: whether an odd number of shingles falls into it. ``CELLS`` for each
     shingle, rounded up to a power of two, 64 at least."""
-    size = max(64, 1 << int(4 * len(tokens) - 1).bit_length())
+    size = max(64, 1 << int(CELLS * len(tokens) - 1).bit_length())
     cells = (tokens >> np.uint64(32)).astype(np.int64) & (size - 1)
     odd = (np.bincount(cells, minlength=size) & 1).astype(np.uint8)
     return np.packbits(odd).tobytes()
@@ -363,21 +368,25 @@ def _unpack(packed: bytes) -> np.ndarray:
     return wide.reshape(-1).view(">u8").astype(np.uint64)
 
 
-def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node``, ``n``, ``tokens`` of the given nodes, perhaps more than once."""
+def _filter_of(values: DataFrame, size: int) -> np.ndarray:
+    """Packed bits, ``size`` of them (a power of two), of which those at the lower bits of the
+    values (one column of hashes, long) are set."""
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(FILTER_BITS, bool)
+        bits = np.zeros(size, bool)
         for batch in batches:
-            bits[batch.column(0).to_numpy().view(np.uint64) & np.uint64(FILTER_BITS - 1)] = True
+            bits[batch.column(0).to_numpy().view(np.uint64) & np.uint64(size - 1)] = True
         yield pa.RecordBatch.from_pydict({"part": [zlib.compress(np.packbits(bits).tobytes(), 1)]})
 
-    spark = docs.sparkSession
-    parts = shared.stored(shared.arrow_map(nodes, fill, "part binary"), "filter")
-    total = _fewer(parts).map(
+    parts = shared.stored(shared.arrow_map(values, fill, "part binary"), "filter")
+    return _fewer(parts).map(
         lambda r: np.frombuffer(zlib.decompress(r[0]), np.uint8)
-    ).treeAggregate(np.zeros(FILTER_BITS // 8, np.uint8), np.bitwise_or, np.bitwise_or)
-    wanted = spark.sparkContext.broadcast(total)
+    ).treeAggregate(np.zeros(size // 8, np.uint8), np.bitwise_or, np.bitwise_or)
+
+
+def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node``, ``n``, ``tokens`` of the given nodes, perhaps more than once."""
+    wanted = docs.sparkSession.sparkContext.broadcast(_filter_of(nodes, FILTER_BITS))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(wanted.value)
@@ -712,19 +721,42 @@ def join_classes(docs: DataFrame) -> DataFrame:
     )
 
 
+def _by_filter(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` whose id is certainly none of ``ids`` (distinct), and the others: all
+    with such an id and a few more. Nothing is shuffled but ``ids``; a filter of bounded size goes
+    to the tasks, so beyond that size more rows are among the others."""
+    size = min(MOST_ID_BITS, 1 << max(10, (ID_BITS * ids.count()).bit_length()))
+    bits = docs.sparkSession.sparkContext.broadcast(_filter_of(ids.select(F.xxhash64("doc_id")), size))
+
+    @F.arrow_udf("boolean")
+    def flagged(hashes: pa.Array) -> pa.Array:
+        at = hashes.to_numpy().view(np.uint64) & np.uint64(size - 1)
+        cell = bits.value[(at >> np.uint64(3)).astype(np.int64)]
+        return pa.array((cell >> (7 - (at & np.uint64(7)).astype(np.uint8))) & 1 == 1)
+
+    # The hash of a null is not null; such a row only takes the way of the others.
+    marked = flagged(F.xxhash64("doc_id"))
+    return docs.filter(~marked), docs.filter(marked)
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component, with all columns: the one with the smallest id. Of rows with
-    that same id, one stays. Rows without an id and rows with an empty set stay."""
+    that same id, one stays. Rows without an id and rows with an empty set stay. Only the texts of
+    rows that may have to go are shuffled."""
     found = shared.stored(join_classes(docs).select("doc_id", "component_id", "n_shingles"), "one")
     full = found.filter("doc_id is not null and n_shingles > 0")
     gone = full.filter("doc_id <> component_id").select("doc_id").distinct()
     again = full.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1")
-    again = shared.stored(again.select("doc_id"), "again")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    if again.isEmpty():
-        return kept.select(docs.columns)
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, "doc_id", "left_anti").union(once).select(docs.columns)
+    again = again.select("doc_id", F.lit(False).alias("gone"))
+    doubtful = gone.withColumn("gone", F.lit(True)).union(again)
+    doubtful = shared.stored(doubtful.groupBy("doc_id").agg(F.max("gone").alias("gone")), "doubtful")
+    clear, others = _by_filter(docs, doubtful)
+    gone, again = (doubtful.filter(f"gone = {x}").select("doc_id") for x in ("true", "false"))
+    kept = others.join(gone, "doc_id", "left_anti")
+    if not again.isEmpty():
+        once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        kept = kept.join(again, "doc_id", "left_anti").union(once)
+    return clear.select(docs.columns).union(kept.select(docs.columns))
 
 
 def op9_ngram_join(spark, sf_dir: str) -> DataFrame:

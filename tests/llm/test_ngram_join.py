@@ -100,6 +100,37 @@ def test_keep_one(spark):
     assert got == want
 
 
+def test_keep_one_shuffles_few_texts(spark, monkeypatch):
+    """Rows that certainly stay move nowhere, whatever is too large for a broadcast."""
+    rng = random.Random(5)
+    rows = [(k, corpus.text(rng, 12), "aa", "s", 0) for k in range(3000)]
+    rows += [(5000 + k, rows[k][1], "aa", "s", 0) for k in range(0, 3000, 30)]
+    split, real = [], ngram_join._by_filter
+
+    def kept_parts(*args):
+        split.append(real(*args))
+        return split[0]
+
+    monkeypatch.setattr(ngram_join, "_by_filter", kept_parts)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r["doc_id"] for r in ngram_join.keep_one(corpus.documents(spark, rows)).collect()}
+        clear, others = ([r["doc_id"] for r in part.collect()] for part in split[0])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == set(range(3000))
+    assert sorted(clear + others) == sorted(r[0] for r in rows)
+    assert 100 <= len(others) < 400 and set(others) >= {r[0] for r in rows[3000:]}
+    assert "Exchange" not in split[0][0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_bitmap_is_short():
+    for n in (1, 16, 100, 5000):
+        tokens = ngram_join.np.arange(n, dtype=ngram_join.np.uint64) << ngram_join.np.uint64(32)
+        assert len(ngram_join._parity(tokens)) <= max(8, n // 2)
+
+
 @pytest.mark.parametrize("n", [2, 3, 4, 5, 7, 20, 333])
 def test_similar_sets_share_a_signature(n):
     """For rare, mixed and frequent shingles alike."""
