@@ -9,6 +9,35 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 
 _ONE = np.uint64(1)
+_BYTES = np.uint64(0x0101010101010101)
+_TOPS = np.uint64(0x8080808080808080)
+#: Place of the k-th set bit of a byte, by 8 times the byte and k.
+_IN_BYTE = np.array(
+    [([i for i in range(8) if byte >> i & 1] + [0] * 8)[k] for byte in range(256) for k in range(8)], np.int64
+)
+
+
+def _select(bits: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Place of the set bit of each word that has ``rank`` (below their number) others below it."""
+    two, four = np.uint64(0x3333333333333333), np.uint64(0x0F0F0F0F0F0F0F0F)
+    sums = bits - ((bits >> _ONE) & np.uint64(0x5555555555555555))
+    sums = (sums & two) + ((sums >> np.uint64(2)) & two)
+    # Each byte: the set bits up to its end.
+    sums = ((sums + (sums >> np.uint64(4))) & four) * _BYTES
+    rank = rank.astype(np.uint64)
+    before = np.bitwise_count(((rank * _BYTES | _TOPS) - sums) & _TOPS).astype(np.uint64) << np.uint64(3)
+    rank -= ((sums << np.uint64(8)) >> before) & np.uint64(255)
+    byte = (bits >> before) & np.uint64(255)
+    return before.astype(np.int64) + _IN_BYTE[(byte << np.uint64(3) | rank).astype(np.int64)]
+
+
+def _joined(size: int, word: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """``size`` words, each with the bits of all its parts; ``word`` rises."""
+    out = np.zeros(size, np.uint64)
+    if len(word):
+        start = np.flatnonzero(np.diff(word, prepend=-1))
+        out[word[start]] = np.bitwise_or.reduceat(part, start)
+    return out
 
 
 class Sequence:
@@ -29,14 +58,14 @@ class Sequence:
         if bits:
             part = values & np.uint64((1 << bits) - 1)
             word, shift = (place >> np.uint64(6)).astype(np.int64), place & np.uint64(63)
-            np.bitwise_or.at(low, word, part << shift)
-            over = shift + np.uint64(bits) > np.uint64(64)
-            np.bitwise_or.at(low, word[over] + 1, part[over] >> (np.uint64(64) - shift[over]))
+            low = _joined(len(low), word, part << shift)
+            # The last part of a word may reach into the next one.
+            over = np.flatnonzero(shift + np.uint64(bits) > np.uint64(64))
+            low[word[over] + 1] |= part[over] >> (np.uint64(64) - shift[over])
         up = (values >> np.uint64(bits)).astype(np.int64)
         length = n + (bound >> bits) + 2
-        high = np.zeros(length // 64 + 1, np.uint64)
         ones = up + np.arange(n)
-        np.bitwise_or.at(high, ones >> 6, _ONE << (ones & 63).astype(np.uint64))
+        high = _joined(length // 64 + 1, ones >> 6, _ONE << (ones & 63).astype(np.uint64))
         zeros = 64 - np.bitwise_count(high).astype(np.int64)
         before = np.concatenate([[0], np.cumsum(zeros)[:-1]])
         return {"shape": np.array([n, bits]), "low": low, "high": high, "zeros": before}
@@ -44,23 +73,23 @@ class Sequence:
     def _low(self, at: np.ndarray) -> np.ndarray:
         place = at.astype(np.uint64) * np.uint64(self.low_bits)
         word, shift = (place >> np.uint64(6)).astype(np.int64), place & np.uint64(63)
-        left = np.where(shift > 0, (np.uint64(64) - shift) & np.uint64(63), np.uint64(0))
-        over = np.where(shift > 0, self.low[word + 1] << left, np.uint64(0))
+        # In two steps, as a shift by 64 is none.
+        over = (self.low[word + 1] << _ONE) << (shift ^ np.uint64(63))
         return ((self.low[word] >> shift) | over) & np.uint64((1 << self.low_bits) - 1)
 
     def _zero(self, number: np.ndarray) -> np.ndarray:
         """Places of the given zeros in the unary part."""
         word = np.searchsorted(self.zeros, number, "right") - 1
-        rest = (number - self.zeros[word]).astype(np.int64)
-        bits = ~self.high[word]
-        place = np.zeros(len(number), np.int64)
-        for step in (32, 16, 8, 4, 2, 1):
-            here = np.bitwise_count(bits & np.uint64((1 << step) - 1)).astype(np.int64)
-            later = rest >= here
-            rest = np.where(later, rest - here, rest)
-            bits = np.where(later, bits >> np.uint64(step), bits)
-            place += step * later
-        return word * 64 + place
+        return word * 64 + _select(~self.high[word], number - self.zeros[word])
+
+    def _next_zero(self, place: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """Places of the given zeros, which are the first at ``place`` or after it."""
+        word, shift = place >> 6, (place & 63).astype(np.uint64)
+        rest = ~self.high[word] >> shift
+        found = place + np.bitwise_count((rest & (~rest + _ONE)) - _ONE)
+        far = np.flatnonzero(rest == 0)
+        found[far] = self._zero(number[far])
+        return found
 
     def successor(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of the first number that is not below each of ``wanted``, as far as it has the
@@ -69,31 +98,29 @@ class Sequence:
         up = (wanted >> np.uint64(self.low_bits)).astype(np.int64)
         rest = wanted & np.uint64((1 << self.low_bits) - 1)
         # Numbers with this high part lie between two zeros.
-        first = np.where(up > 0, self._zero(np.maximum(up - 1, 0)) - np.maximum(up - 1, 0), 0)
-        last = self._zero(up) - up
-        low, high = first, last
-        while (open_ := low < high).any():
+        before = np.where(up > 0, self._zero(np.maximum(up - 1, 0)), -1)
+        last = self._next_zero(before + 1, up) - up
+        place = before + 1 - up
+        # Only those whose range is not down to nothing are searched on.
+        at = np.flatnonzero(place < last)
+        low, high, sought = place[at], last[at], rest[at]
+        while len(at):
             middle = (low + high) >> 1
-            less = open_ & (self._low(np.minimum(middle, max(self.size - 1, 0))) < rest)
-            high = np.where(open_ & ~less, middle, high)
-            low = np.where(less, middle + 1, low)
-        inside = low < last
-        equal = inside & (self._low(np.minimum(low, max(self.size - 1, 0))) == rest)
-        return low, equal
+            less = self._low(middle) < sought
+            low, high = np.where(less, middle + 1, low), np.where(less, high, middle)
+            open_ = low < high
+            done = ~open_
+            place[at[done]] = low[done]
+            at, low, high, sought = at[open_], low[open_], high[open_], sought[open_]
+        equal = place < last
+        equal[equal] = self._low(place[equal]) == rest[equal]
+        return place, equal
 
     def at(self, place: np.ndarray) -> np.ndarray:
         """The numbers at the given places (a rank directory is not needed: by search)."""
         ones_before = np.arange(len(self.high)) * 64 - self.zeros
         word = np.searchsorted(ones_before, place, "right") - 1
-        rest = (place - ones_before[word]).astype(np.int64)
-        bits = self.high[word].copy()
-        inner = np.zeros(len(place), np.int64)
-        for step in (32, 16, 8, 4, 2, 1):
-            here = np.bitwise_count(bits & np.uint64((1 << step) - 1)).astype(np.int64)
-            later = rest >= here
-            rest = np.where(later, rest - here, rest)
-            bits = np.where(later, bits >> np.uint64(step), bits)
-            inner += step * later
+        inner = _select(self.high[word], place - ones_before[word])
         up = (word * 64 + inner - place).astype(np.uint64)
         return (up << np.uint64(self.low_bits)) | self._low(place)
 

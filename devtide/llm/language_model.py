@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +45,14 @@ DISCOUNT = 0.75
 SHARDS = 64
 _TOKENS = 1 << 22
 #: Contexts in a file of the third level; words in a file of the less frequent ones.
-_CONTEXTS = 1 << 17
+_CONTEXTS = 1 << 18
 _WORDS = 1 << 20
 #: Steps of the 8-bit logarithms in a power of ten.
 STEPS = 32
 #: Hash of the end token (a fixed value).
 END = int(shared.mix(np.array([0xE0D], np.uint64))[0])
+#: Tokens that are looked up at once, or a batch's: each file is then asked for many at a time.
+LOT = 800_000
 #: Distinct n-grams that a task gathers before it gives them on.
 _GATHERED = 800_000
 
@@ -69,6 +72,18 @@ def tokens_of(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield first, out, owner
 
 
+def lots_of(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the tokens of several chunks of whole texts, row of each."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for first, tokens, row in tokens_of(texts):
+        held.append((tokens, row + first))
+        if sum(len(tokens) for tokens, _ in held) >= LOT:
+            yield tuple(np.concatenate(part) for part in zip(*held, strict=True))
+            held = []
+    if held:
+        yield tuple(np.concatenate(part) for part in zip(*held, strict=True))
+
+
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     key, count = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(key, kind="stable")
@@ -155,9 +170,26 @@ class Words:
         """Numbers of the tokens; -1 for other words."""
         if not len(self.hashes):
             return np.full(len(tokens), -1)
-        at = np.minimum(np.searchsorted(self.hashes, tokens), len(self.hashes) - 1)
+        shift, first = self.directory
+        at = first[tokens >> shift]
+        # A few hashes at most have the same first bits.
+        last = len(self.hashes) - 1
+        behind = np.flatnonzero((self.hashes[at] < tokens) & (at < last))
+        while len(behind):
+            at[behind] += 1
+            here = at[behind]
+            behind = behind[(self.hashes[here] < tokens[behind]) & (here < last)]
         return np.where(self.hashes[at] == tokens, self.numbers[at], -1)
 
+    @cached_property
+    def directory(self) -> tuple[np.uint64, np.ndarray]:
+        """Bits to cut off a hash, and for each value of the others the place of the first word
+        whose hash is not below (the last place at most)."""
+        bits = len(self.hashes).bit_length()
+        shift = np.uint64(64 - bits)
+        first = np.searchsorted(self.hashes, np.arange(1 << bits, dtype=np.uint64) << shift)
+        return shift, np.minimum(first, len(self.hashes) - 1)
+
     @property
     def floor(self) -> float:
         """log10 of what an add-one count is divided by."""
@@ -231,7 +263,7 @@ def _counted(docs: DataFrame, folder: str, words: Words, order: int, span: int,
 
         def parts() -> Iterator[np.ndarray]:
             for batch in batches:
-                for _, tokens, row in tokens_of(shared.texts_of(batch)):
+                for tokens, row in lots_of(shared.texts_of(batch)):
                     yield trie.codes(order, trie.numbers(tokens), row)
 
         for key, count in _gathered(parts()):
@@ -419,9 +451,9 @@ class Trie:
                 found.append((values % np.uint64(self.vocabulary)).astype(np.int64))
         return np.concatenate(found)
 
-    def scores(self, number: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """log10 probability of each token after the two before it."""
-        out = self.unigrams(number)
+    def scores(self, number: np.ndarray, row: np.ndarray, single: np.ndarray | None = None) -> np.ndarray:
+        """log10 probability of each token after the two before it (``single``: alone)."""
+        out = self.unigrams(number) if single is None else single.copy()
         n, size = len(number), self.vocabulary
         # Pairs: equal ones are looked up once.
         same = np.zeros(n, bool)
@@ -509,16 +541,20 @@ def score(docs: DataFrame, folder: str, words: Words, counts: DataFrame) -> Data
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(folder, known.value)
         for batch in batches:
-            n, sums = len(batch), []
-            for first, tokens, row in tokens_of(shared.texts_of(batch)):
+            n = len(batch)
+            size, found = np.zeros(n, np.int64), np.zeros(n, np.int64)
+            base, model = np.zeros(n), np.zeros(n)
+            for tokens, row in lots_of(shared.texts_of(batch)):
                 number = trie.numbers(tokens)
-                weights = (None, number >= 0, trie.unigrams(number), trie.scores(number, row))
-                sums.append([np.bincount(row, w) for w in weights])
+                single = trie.unigrams(number)
+                size += np.bincount(row, minlength=n)
+                found += np.bincount(row[number >= 0], minlength=n)
+                base += np.bincount(row, single, n)
+                model += np.bincount(row, trie.scores(number, row, single), n)
             if not n:
                 continue
-            size, found, base, model = (np.concatenate(p) for p in zip(*sums, strict=True))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size), pa.array(found.astype(np.int64)), pa.array(base), pa.array(model)],
+                [batch.column(0), pa.array(size), pa.array(found), pa.array(base), pa.array(model)],
                 ["doc_id", "n_tokens", "n_known", "base_score", "score"],
             )
 

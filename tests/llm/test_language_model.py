@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from devtide.llm import language_model
@@ -172,3 +173,36 @@ def test_every_pair_and_triple_counts(spark, tmp_path, monkeypatch):
     seen = {r[0]: r[6] / r[2] for r in got if r[2] > 1}
     assert {k: (seen[k], v) for k, v in want.items() if abs(seen[k] - v) >= 1.6 / language_model.STEPS} == {}
     assert len(set(grams)) > 1000 and sum(len(g) == 2 for g in grams) > 1024
+
+
+def test_a_search_goes_on_only_where_a_range_is_open(monkeypatch):
+    """One long range must not make all other lookups take its steps."""
+    dense, apart = np.arange(4096), np.arange(1, 4097) << 40
+    values = np.concatenate([dense, apart]).astype(np.uint64)
+    sequence = Sequence(Sequence.encode(values, 1 << 53))
+    taken, real = [], Sequence._low
+    monkeypatch.setattr(Sequence, "_low", lambda self, at: taken.append(len(at)) or real(self, at))
+    wanted = np.concatenate([[4000], apart]).astype(np.uint64)
+    place, equal = sequence.successor(wanted)
+    assert equal.all() and (values[place] == wanted).all()
+    assert sum(taken) < 3 * len(wanted)
+
+
+def test_chunks_are_looked_up_together(monkeypatch):
+    monkeypatch.setattr(language_model.shared, "CHUNK_BYTES", 20)
+    texts = pa.array(["lo ka mi", "", "tu ren sol va di", "lo", "ka ka"] * 4, pa.large_string())
+    (lot,) = language_model.lots_of(texts)
+    parts = list(language_model.tokens_of(texts))
+    assert len(parts) > 1
+    assert lot[0].tolist() == np.concatenate([tokens for _, tokens, _ in parts]).tolist()
+    assert lot[1].tolist() == np.concatenate([first + row for first, _, row in parts]).tolist()
+
+
+def test_words_are_found_by_the_first_bits_of_their_hashes():
+    rng = np.random.default_rng(3)
+    hashes = np.unique(np.concatenate([rng.integers(0, 2**64, 500, np.uint64), np.arange(2**63, 2**63 + 40, dtype=np.uint64)]))
+    number = rng.permutation(len(hashes))
+    words = language_model.Words(hashes, number, np.ones(len(hashes), np.int64), 1, 1)
+    for asked in (hashes, hashes + np.uint64(1), hashes - np.uint64(1), np.array([0, 2**64 - 1], np.uint64)):
+        want = dict(zip(hashes.tolist(), number.tolist(), strict=True))
+        assert words.of(asked).tolist() == [want.get(h, -1) for h in asked.tolist()]
