@@ -24,7 +24,7 @@ from ..session import shared_folder, use_scratch
 BATCH_ROWS = 2000
 BATCH_BYTES = 16 << 20
 #: Bytes of text that the vectorised helpers take at once (a longer text is taken alone).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: Applications that have the package.
 _SHIPPED: set[str] = set()
 
