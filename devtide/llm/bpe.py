@@ -284,7 +284,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = shared.held(known.value, Codec)
         for batch in batches:
-            yield _with(batch, ids, codec.encode_all(shared.texts_of(batch, text)))
+            for part, texts in shared.slices(batch, text):
+                yield _with(part, ids, codec.encode_all(texts))
 
     return shared.arrow_map(docs, work, _schema(docs, ids, "array<int>"), holds=True)
 
@@ -313,9 +314,10 @@ def round_trip(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = shared.held(known.value, Codec)
         for batch in batches:
-            found = codec.encode_all(shared.texts_of(batch, text))
-            batch = _with(batch, ids, found)
-            yield _with(batch, decoded, codec.decode_all(found).cast(pa.string()))
+            for part, texts in shared.slices(batch, text):
+                found = codec.encode_all(texts)
+                part = _with(part, ids, found)
+                yield _with(part, decoded, codec.decode_all(found).cast(pa.string()))
 
     return shared.arrow_map(both, work, both.schema, holds=True)
 

@@ -355,7 +355,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, items: int = ITEMS) ->
                 keep[list(leaks_of(known.value, shared.texts_of(batch)))] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(work, docs.schema)
+        docs = shared.arrow_map(docs, work, docs.schema)
     return docs
 
 

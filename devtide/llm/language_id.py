@@ -304,8 +304,7 @@ def keep_known(docs: DataFrame, model: Model) -> DataFrame:
             rejected = _nearest(shared_model.value, shared.texts_of(batch))[3]
             yield batch.filter(pa.array(~rejected))
 
-    shared.prepare(docs.sparkSession)
-    return docs.mapInArrow(work, docs.schema)
+    return shared.arrow_map(docs, work, docs.schema)
 
 
 def op2_language_id(spark, sf_dir: str) -> DataFrame:

@@ -170,18 +170,9 @@ def _counted(tokens: np.ndarray) -> np.ndarray:
     )
 
 
-def _fewer(parts: DataFrame):
-    """The rows in a sixteenth of the partitions (8 at least): arrays of fixed size are added up
-    within a task before they move."""
-    rows = parts.rdd
-    return rows.coalesce(max(8, rows.getNumPartitions() // 16))
-
-
 def frequent_cells(sketches: DataFrame) -> np.ndarray:
     """Two rows of flags, from the sum of all sketches (a tree of sums of fixed size)."""
-    total = _fewer(sketches).map(
-        lambda r: np.frombuffer(zlib.decompress(r[0]), np.int64)
-    ).treeAggregate(np.zeros(2 * SKETCH, np.int64), np.add, np.add)
+    total = shared.tree_fold(sketches, "bits", np.zeros(2 * SKETCH, np.int64), np.add, packed=True)
     mean = total[:SKETCH].sum() / SKETCH
     return (total > mean + max(FREQUENT, 8 * mean**0.5)).reshape(2, SKETCH)
 
@@ -379,9 +370,7 @@ def _filter_of(values: DataFrame, size: int) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"part": [zlib.compress(np.packbits(bits).tobytes(), 1)]})
 
     parts = shared.stored(shared.arrow_map(values, fill, "part binary"), "filter")
-    return _fewer(parts).map(
-        lambda r: np.frombuffer(zlib.decompress(r[0]), np.uint8)
-    ).treeAggregate(np.zeros(size // 8, np.uint8), np.bitwise_or, np.bitwise_or)
+    return shared.tree_fold(parts, "part", np.zeros(size // 8, np.uint8), np.bitwise_or, packed=True)
 
 
 def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -242,8 +242,7 @@ def redact(docs: DataFrame, ranks: tuple[dict[bytes, int], str], mark: str = "[S
                     batch = batch.set_column(at, "n_chars", pa.array(sizes, kind))
             yield batch
 
-    shared.prepare(docs.sparkSession)
-    return docs.mapInArrow(work, docs.schema)
+    return shared.arrow_map(docs, work, docs.schema, holds=True)
 
 
 def _listed(spans) -> F.Column:

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import RDD
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -25,6 +26,10 @@ BATCH_ROWS = 2000
 BATCH_BYTES = 16 << 20
 #: Bytes of text that the vectorised helpers take at once (a longer text is taken alone).
 CHUNK_BYTES = 1 << 20
+#: Partitions whose arrays one task folds.
+FAN = 16
+#: What the C library has to return freed memory with, if it has it.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 #: Applications that have the package.
 _SHIPPED: set[str] = set()
 
@@ -88,11 +93,40 @@ def fold(doc_id: str, folds: int) -> F.Column:
 
 def tree_sum(parts: DataFrame, column: str, dtype: str, length: int) -> np.ndarray:
     """The sum of equally long arrays, one per task, added in a tree. ``length`` bounds what
-    reaches the driver, however many rows there are. The arrays are written first: a task that made
-    and added them at once would need two Python workers, and executors keep all they ever had."""
-    parts = stored(parts.select(column), "parts")
-    rdd: RDD = parts.select(column).rdd.map(lambda r: np.frombuffer(r[0], dtype).copy())
-    return rdd.treeAggregate(np.zeros(length, dtype), np.add, np.add)
+    reaches the driver, however many rows there are."""
+    return tree_fold(stored(parts.select(column), "parts"), column, np.zeros(length, dtype), np.add)
+
+
+def tree_fold(
+    parts: DataFrame, column: str, start: np.ndarray, fold: np.ufunc, packed: bool = False
+) -> np.ndarray:
+    """Equally long arrays, in a stored column of bytes (``packed`` by zlib), folded into ``start``,
+    which changes none that it meets, in a tree: a task takes those of ``FAN`` partitions, and one
+    array reaches the driver. Each level is stored: a task that made and folded arrays at once would
+    need two Python workers, and executors keep all they ever had. So do those of RDDs, which are
+    workers of another kind; hence none is used here."""
+    parts = parts.select(F.col(column).alias("part"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = start.copy()
+        for batch in batches:
+            for part in batch.column(0):
+                data = zlib.decompress(part.as_buffer()) if packed else part.as_buffer()
+                fold(total, np.frombuffer(data, start.dtype), out=total)
+        data = total.tobytes()
+        yield pa.RecordBatch.from_pydict({"part": [zlib.compress(data, 1) if packed else data]})
+
+    tasks = parts.rdd.getNumPartitions()
+    while tasks:
+        tasks = -(-tasks // FAN)
+        parts = stored(arrow_map(parts.coalesce(tasks), work, "part binary"), "parts")
+        if tasks == 1:
+            break
+    total = start.copy()
+    for row in parts.collect():
+        data = zlib.decompress(row["part"]) if packed else row["part"]
+        fold(total, np.frombuffer(data, start.dtype), out=total)
+    return total
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
@@ -120,6 +154,14 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         first = end
 
 
+def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """The batch in runs of rows of about ``CHUNK_BYTES`` of text, each with its texts: what a task
+    makes of a batch is many times its length, and a worker keeps the most it ever took."""
+    texts = texts_of(batch, column)
+    for first, end, _, _ in chunks(texts):
+        yield batch.slice(first, end - first), texts.slice(first, end - first)
+
+
 # Fixed odd multipliers of the hashes; any odd values do.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 MULTIPLIERS = np.random.default_rng(20240611).integers(1, 2**63, 64, np.uint64) * 2 + 1
@@ -193,6 +235,14 @@ def hash_word(word: str) -> int:
 _HELD: dict[int, Any] = {}
 
 
+def _give_back() -> None:
+    """Memory that a task has freed goes back to the system: idle workers stay for later stages, and
+    what each keeps adds up next to the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def held(source: Any, make: Callable[[Any], Any]) -> Any:
     """The worker's own ``make(source)``, which serves its next tasks too. Whatever else it held
     is dropped, so that a worker that is used again for another stage holds that one's only."""
@@ -215,6 +265,9 @@ def arrow_map(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not holds:
             _HELD.clear()
-        yield from work(batches)
+        try:
+            yield from work(batches)
+        finally:
+            _give_back()
 
     return df.mapInArrow(run, schema)
