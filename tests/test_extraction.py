@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from devtide.operators import extraction as x
 
 from . import samples as s
+from .test_raw_payloads import plan_of
 
 NOW = datetime(2024, 6, 15)
 MARKS = "repository_full_name string, entity string, watermark_at timestamp, updated_by_run string, updated_at timestamp"
@@ -113,3 +114,19 @@ def test_marks_never_move_back(spark):
         "pull_requests": (datetime(2024, 6, 2), "r1"),
         "issues": (datetime(2024, 6, 1), "r0"),
     }
+
+
+def test_a_window_parses_each_instant_once(spark):
+    listing = s.listings(spark)["pull_requests"]
+    window = x.windows(repos(spark), marks(spark), NOW)
+    assert plan_of(x.in_window(listing, "pull_requests", window)).count("RLIKE") == 1
+
+
+def test_a_review_without_a_number_is_of_no_pull_request(spark):
+    nameless = s.changed(s.PULLS[0], "number", None)
+    loose = (s.REVIEWS[0][0], {})
+    reviews, pulls = s.listing(spark, [*s.REVIEWS, loose]), s.listing(spark, [nameless, s.PULLS[1]])
+    found = x.reviews_of(reviews, pulls)
+    assert found.columns == reviews.columns and found.count() == 2
+    # The number is read for the join only, not a second time to leave out reviews without one.
+    assert plan_of(found).count("$.pull_number") == 1
